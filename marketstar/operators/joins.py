@@ -1,0 +1,29 @@
+"""Join helpers.
+
+Broadcast policy:
+
+* ``bounded_broadcast`` is for frames whose size has a proof independent of
+  the data volume: the calendar (one index bar per day), the fixed
+  nation/region lists, the literal sector list.  Those get an explicit
+  ``broadcast`` hint.
+* Everything else (companies grow with the number of suppliers, statements
+  with suppliers x years) joins without a hint.  Spark then checks the size:
+  statically against ``spark.sql.autoBroadcastJoinThreshold`` from scan
+  statistics, and again at run time through AQE from the real shuffle
+  sizes; above the threshold it keeps a sort-merge join on the key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a frame with a data-independent size bound."""
+    return F.broadcast(df)
+
+
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Fact ⋈ dimension with the size decision left to Spark (see module doc)."""
+    return fact.join(dim, on, how)

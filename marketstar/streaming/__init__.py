@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload this library reproduces is batch only: every table is replaced
+in full on each load and every query reads a complete snapshot.  There are
+no event streams, watermarks, windows over event time or stateful operators
+to express, so no Structured Streaming query is defined here.
+"""
