@@ -36,9 +36,16 @@ def use_schema(spark: SparkSession, schema: str, create: bool = True) -> None:
     spark.sql("USE SCHEMA IDENTIFIER(:name)", args={"name": schema})
 
 
-def write_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
-    """Full overwrite of a catalog table (schema replaced with the new one)."""
+def write_table(
+    df: DataFrame, table: str, partition_by: list[str] | None = None, location: str | None = None
+) -> None:
+    """Full overwrite of a catalog table (schema replaced with the new one).
+
+    ``location`` makes it an external table at that path (shared storage).
+    """
     w = df.write.mode("overwrite").option("overwriteSchema", "true")
+    if location:
+        w = w.option("path", location)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(table)

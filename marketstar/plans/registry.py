@@ -145,7 +145,8 @@ def table_roundtrip(spark, sf_dir):
     catalog.use_schema(spark, ROUNDTRIP_SCHEMA)
     name = catalog.qualified(ROUNDTRIP_SCHEMA, "dim_companies")
     fields, comment = K.schemas.TABLES["dim_companies"]
-    catalog.save_with_comments(spark, star.dim_companies, name, fields, comment)
+    location = scratch_path(spark, "roundtrip_dim_companies")
+    catalog.save_with_comments(spark, star.dim_companies, name, fields, comment, location=location)
     spark.sql("USE SCHEMA default")
     return spark.table(name)
 
