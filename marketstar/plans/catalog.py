@@ -148,6 +148,17 @@ def star_from_catalog(spark: SparkSession, schema: str) -> Star:
     )
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate result as parquet and return a scan of it.
+
+    Used for results read by several consumers (computed once) and to cut
+    long lineages: after a lost executor, tasks re-read these files instead
+    of recomputing everything upstream.  ``path`` must be on shared storage.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialize(star: Star, root: str) -> Star:
     """Write the six tables as parquet under ``root`` and return scans of them.
 

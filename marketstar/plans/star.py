@@ -313,40 +313,93 @@ def driver_indicator_spec() -> IndicatorSpec:
 # ------------------------------------------------------------------ bundle
 
 
-@dataclass
+class Lazy(dict):
+    """A mapping whose values are built on first access from zero-arg callables."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = dict(builders)
+
+    def __missing__(self, key):
+        value = self._builders[key]()
+        self[key] = value
+        return value
+
+    def __contains__(self, key):
+        return key in self._builders
+
+    def names(self):
+        return list(self._builders)
+
+
+TABLE_NAMES = (
+    "dim_companies",
+    "dim_sectors",
+    "fact_stock_prices",
+    "fact_sp500_benchmark",
+    "fact_financials",
+    "fact_economic_indicators",
+)
+
+
 class Star:
-    """The six star-schema tables (lazy plans or table scans)."""
+    """The six star-schema tables (lazy plans or table scans).
+
+    Each table is given as a DataFrame or as a zero-argument builder; a
+    builder runs on first access only, so a query that reads one table never
+    plans the other five.
+    """
+
+    def __init__(self, raw: dict | None = None, **tables):
+        missing = [n for n in TABLE_NAMES if n not in tables]
+        if missing:
+            raise TypeError(f"missing tables: {missing}")
+        self._tables = Lazy({n: (t if callable(t) else (lambda t=t: t)) for n, t in tables.items()})
+        self.raw = raw if raw is not None else {}
 
-    dim_companies: DataFrame
-    dim_sectors: DataFrame
-    fact_stock_prices: DataFrame
-    fact_sp500_benchmark: DataFrame
-    fact_financials: DataFrame
-    fact_economic_indicators: DataFrame
-    raw: dict = field(default_factory=dict)
+    def __getattr__(self, name):
+        if name in TABLE_NAMES:
+            return self._tables[name]
+        raise AttributeError(name)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
-            "dim_companies": self.dim_companies,
-            "dim_sectors": self.dim_sectors,
-            "fact_stock_prices": self.fact_stock_prices,
-            "fact_sp500_benchmark": self.fact_sp500_benchmark,
-            "fact_financials": self.fact_financials,
-            "fact_economic_indicators": self.fact_economic_indicators,
-        }
+        return {n: self._tables[n] for n in TABLE_NAMES}
+
+
+_STAGED_BARS: dict = {}
 
 
-def landed_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Landed raw inputs derived from the driver tables (all lazy)."""
+def staged_bars(spark: SparkSession, src: TableSource) -> DataFrame:
+    """Daily bars written once per application and source folder, then scanned.
+
+    Both price facts (tickers and index) derive from the bars; staging them
+    makes the line-item aggregation run once instead of once per consumer,
+    and the staged files live in the shared folder (``spark.checkpoint.dir``).
+    The driver tables are read-only, so a staged copy stays valid.
+    """
+    from ..session import scratch_path  # local import: session is optional for pure plans
+    from .catalog import stage
+
+    key = (spark.sparkContext.applicationId, src.root)
+    if key not in _STAGED_BARS:
+        _STAGED_BARS[key] = stage(landed.daily_bars(src), scratch_path(spark, "daily_bars"))
+    return _STAGED_BARS[key]
+
+
+def landed_inputs(spark: SparkSession, sf_dir: str, stage_bars: bool = True) -> dict[str, DataFrame]:
+    """Landed raw inputs derived from the driver tables (lazy; bars optionally staged)."""
     src = TableSource(spark, sf_dir)
-    bars = landed.daily_bars(src)
-    return {
-        "raw_profiles": landed.raw_profiles(src),
-        "raw_prices": landed.prices_from_bars(bars),
-        "raw_index": landed.index_from_bars(bars),
-        "raw_statements": landed.raw_statements(src),
-        "raw_weo": landed.raw_weo_wide(src),
-    }
+    raw = Lazy(
+        {
+            "bars": (lambda: staged_bars(spark, src)) if stage_bars else (lambda: landed.daily_bars(src)),
+            "raw_profiles": lambda: landed.raw_profiles(src),
+            "raw_prices": lambda: landed.prices_from_bars(raw["bars"]),
+            "raw_index": lambda: landed.index_from_bars(raw["bars"]),
+            "raw_statements": lambda: landed.raw_statements(src),
+            "raw_weo": lambda: landed.raw_weo_wide(src),
+        }
+    )
+    return raw
 
 
 def build_star(
@@ -358,16 +411,16 @@ def build_star(
 ) -> Star:
     spec = spec or driver_indicator_spec()
     return Star(
-        dim_companies=companies(raw["raw_profiles"]),
-        dim_sectors=universe.sectors(spark),
-        fact_stock_prices=stock_prices(raw["raw_prices"], pad=pad_returns),
-        fact_sp500_benchmark=benchmark(raw["raw_index"], pad=pad_returns),
-        fact_financials=financials(raw["raw_statements"], pad=pad_growth),
-        fact_economic_indicators=indicators(raw["raw_weo"], spec),
         raw=raw,
+        dim_companies=lambda: companies(raw["raw_profiles"]),
+        dim_sectors=lambda: universe.sectors(spark),
+        fact_stock_prices=lambda: stock_prices(raw["raw_prices"], pad=pad_returns),
+        fact_sp500_benchmark=lambda: benchmark(raw["raw_index"], pad=pad_returns),
+        fact_financials=lambda: financials(raw["raw_statements"], pad=pad_growth),
+        fact_economic_indicators=lambda: indicators(raw["raw_weo"], spec),
     )
 
 
-def star_from_driver(spark: SparkSession, sf_dir: str, **kw) -> Star:
-    """Star schema straight from the driver tables, as one lazy plan per table."""
-    return build_star(spark, landed_inputs(spark, sf_dir), **kw)
+def star_from_driver(spark: SparkSession, sf_dir: str, stage_bars: bool = True, **kw) -> Star:
+    """Star schema from the driver tables: one lazy plan per table (bars staged)."""
+    return build_star(spark, landed_inputs(spark, sf_dir, stage_bars=stage_bars), **kw)

@@ -20,11 +20,15 @@ class TableSource:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
         if name not in DRIVER_TABLES:
             raise KeyError(f"unknown table {name!r}")
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        # One scan node per table: the footer/schema is read once per source.
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._scans[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
