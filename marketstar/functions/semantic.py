@@ -227,8 +227,9 @@ def filter_counts(view: DataFrame, names: Sequence[str], key: str = "ticker") ->
         .groupBy("filter_name")
         .agg(F.count(F.lit(1)).alias("matched_rows"), F.count_distinct(key).alias("matched_keys"))
     )
-    spark = view.sparkSession
-    all_names = spark.createDataFrame([(n,) for n in names], "filter_name string")
+    from ..sources.universe import literal_rows
+
+    all_names = literal_rows(view.sparkSession, [(n,) for n in names], ["filter_name"])
     # ``matched`` has at most one row per filter name: a bounded broadcast.
     return (
         all_names.join(F.broadcast(matched), "filter_name", "left")

@@ -382,7 +382,8 @@ def staged_bars(spark: SparkSession, src: TableSource) -> DataFrame:
 
     key = (spark.sparkContext.applicationId, src.root)
     if key not in _STAGED_BARS:
-        _STAGED_BARS[key] = stage(landed.daily_bars(src), scratch_path(spark, "daily_bars"))
+        flat = stage(landed.flatten_bars(landed.daily_bars(src)), scratch_path(spark, "daily_bars"))
+        _STAGED_BARS[key] = landed.nest_bars(flat)
     return _STAGED_BARS[key]
 
 

@@ -133,6 +133,35 @@ def daily_bars(src: TableSource, start: str | None = None, end: str | None = Non
     )
 
 
+_LINE_FIELDS = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "px")
+
+
+def flatten_bars(bars: DataFrame) -> DataFrame:
+    """Bars with the two line-key structs spread into plain columns (for storage)."""
+    return bars.select(
+        "l_suppkey",
+        "trade_date",
+        *[F.col(f"first_line.{f}").alias(f"first_{f}") for f in _LINE_FIELDS],
+        "high_price",
+        "low_price",
+        *[F.col(f"last_line.{f}").alias(f"last_{f}") for f in _LINE_FIELDS],
+        "volume",
+    )
+
+
+def nest_bars(flat: DataFrame) -> DataFrame:
+    """Inverse of :func:`flatten_bars` (a projection Catalyst folds into field reads)."""
+    return flat.select(
+        "l_suppkey",
+        "trade_date",
+        F.struct(*[F.col(f"first_{f}").alias(f) for f in _LINE_FIELDS]).alias("first_line"),
+        "high_price",
+        "low_price",
+        F.struct(*[F.col(f"last_{f}").alias(f) for f in _LINE_FIELDS]).alias("last_line"),
+        "volume",
+    )
+
+
 def prices_from_bars(bars: DataFrame) -> DataFrame:
     return bars.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),

@@ -30,9 +30,19 @@ SECTOR_SCHEMA = T.StructType(
 )
 
 
+def literal_rows(spark: SparkSession, rows, names) -> DataFrame:
+    """Small literal rows built on the JVM (``inline`` of a literal array).
+
+    Unlike ``createDataFrame`` from Python objects this needs no Python
+    worker, and the rows fold into the plan as constants.
+    """
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def sectors(spark: SparkSession) -> DataFrame:
-    """``dim_sectors``: literal rows with a declared, non-null key."""
-    return spark.createDataFrame(SECTORS, schema=SECTOR_SCHEMA)
+    """``dim_sectors``: literal rows; ``sector_name`` is never NULL."""
+    return literal_rows(spark, SECTORS, [f.name for f in SECTOR_SCHEMA.fields])
 
 
 def flatten_universe(spark: SparkSession, nested: dict[str, dict[str, str]]) -> DataFrame:
