@@ -120,17 +120,17 @@ def view_sql(schema: str) -> dict[str, str]:
     }
 
 
-def publish(spark: SparkSession, star: Star, schema: str) -> None:
+def publish(spark: SparkSession, star: Star, schema: str, location: str | None = None) -> None:
     """Write the six tables with comments, then create the four views.
 
-    ``fact_stock_prices`` is the only table that grows with time at a fixed
-    universe; it is written in one pass (no re-shuffle), and consumers
-    filter it on ``trade_date`` ranges.
+    With ``location`` the tables are external, one folder per table under
+    it (shared storage); otherwise they are managed by the catalog.
     """
     use_schema(spark, schema)
     for name, df in star.tables().items():
         fields, comment = schemas.TABLES[name]
-        save_with_comments(spark, df, qualified(schema, name), fields, comment)
+        where = f"{location.rstrip('/')}/{name}" if location else None
+        save_with_comments(spark, df, qualified(schema, name), fields, comment, location=where)
     for stmt in view_sql(schema).values():
         spark.sql(stmt)
 

@@ -14,7 +14,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from marketstar.session import build_session
 
-    s = build_session("local[*]", shuffle_partitions=8, app="marketstar-tests")
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="marketstar-warehouse-")
+    s = build_session(
+        "local[*]", shuffle_partitions=8, app="marketstar-tests", conf={"spark.sql.warehouse.dir": warehouse}
+    )
     yield s
     s.stop()
 

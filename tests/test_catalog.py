@@ -14,12 +14,13 @@ def test_quoting():
 def test_publish_with_comments_and_views(spark, sf_small):
     schema = "ms_test_publish"
     star = star_from_driver(spark, sf_small)
-    catalog.publish(spark, star, schema)
+    where = scratch_path(spark, "publish")
+    catalog.publish(spark, star, schema, location=where)
     t = catalog.qualified(schema, "fact_stock_prices")
     comments = catalog.column_comments(spark, t)
     assert comments["close_price"].startswith("Last trade price")
     # Re-publishing overwrites the table and re-applies the comments.
-    catalog.publish(spark, star, schema)
+    catalog.publish(spark, star, schema, location=where)
     assert catalog.column_comments(spark, t) == comments
     back = catalog.star_from_catalog(spark, schema)
     assert back.fact_stock_prices.count() == star.fact_stock_prices.count()
