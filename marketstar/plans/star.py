@@ -363,7 +363,14 @@ class Star:
         raise AttributeError(name)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {n: self._tables[n] for n in TABLE_NAMES}
+        """The six tables with exactly their declared columns (storage-only
+        columns such as a partition key are projected away)."""
+        out = {}
+        for n in TABLE_NAMES:
+            df = self._tables[n]
+            cols = schemas.names(schemas.TABLES[n][0])
+            out[n] = df if df.columns == cols else df.select(*cols)
+        return out
 
 
 _STAGED_BARS: dict = {}

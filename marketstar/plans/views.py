@@ -65,10 +65,16 @@ FUNDAMENTALS_FACT_COLS = [
 ]
 
 
-def _date_parts(col: str = "trade_date") -> list:
+def _date_parts(col: str = "trade_date", stored_year: bool = False) -> list:
+    """Calendar parts of the trade date.
+
+    When the fact is stored partitioned by ``trade_year`` the stored column
+    is used, so a year filter on the view prunes partition folders.
+    """
     d = F.col(col)
+    year = F.col("trade_year").cast("int") if stored_year else F.year(d).cast("int")
     return [
-        F.year(d).cast("int").alias("trade_year"),
+        year.alias("trade_year"),
         F.month(d).cast("int").alias("trade_month"),
         F.quarter(d).cast("int").alias("trade_quarter"),
     ]
@@ -85,6 +91,7 @@ def stock_performance(star: Star) -> DataFrame:
     """``vw_stock_performance``: daily bars of profiled tickers with calendar parts."""
     c = star.dim_companies.select("ticker", "company_name", "sector", "industry", "market_cap")
     p = star.fact_stock_prices
+    stored = "trade_year" in p.columns
     return dimension_join(p, c, "ticker").select(
         "ticker",
         "company_name",
@@ -98,14 +105,16 @@ def stock_performance(star: Star) -> DataFrame:
         "close_price",
         "volume",
         "daily_return_pct",
-        *_date_parts(),
+        *_date_parts(stored_year=stored),
     )
 
 
 def stock_vs_benchmark(star: Star) -> DataFrame:
     """``vw_stock_vs_benchmark``: daily bars beside the index, with excess return."""
     c = star.dim_companies.select("ticker", "company_name", "sector", "industry", "beta")
-    p = star.fact_stock_prices.select("ticker", "trade_date", "close_price", "daily_return_pct")
+    stored = "trade_year" in star.fact_stock_prices.columns
+    keep = ["ticker", "trade_date", "close_price", "daily_return_pct"] + (["trade_year"] if stored else [])
+    p = star.fact_stock_prices.select(*keep)
     b = bounded_broadcast(
         star.fact_sp500_benchmark.select(
             "trade_date",
@@ -128,7 +137,7 @@ def stock_vs_benchmark(star: Star) -> DataFrame:
             "sp500_close",
             "sp500_daily_return_pct",
             (F.col("daily_return_pct") - F.col("sp500_daily_return_pct")).alias("excess_return_pct"),
-            *_date_parts(),
+            *_date_parts(stored_year=stored),
         )
     )
 
