@@ -8,6 +8,7 @@ records) or over materialised tables (see :mod:`marketstar.plans.catalog`).
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -362,18 +363,19 @@ class Star:
             return self._tables[name]
         raise AttributeError(name)
 
+    def table(self, name: str) -> DataFrame:
+        """One table with exactly its declared columns (storage-only columns
+        such as a partition key are projected away)."""
+        df = self._tables[name]
+        cols = schemas.names(schemas.TABLES[name][0])
+        return df if df.columns == cols else df.select(*cols)
+
     def tables(self) -> dict[str, DataFrame]:
-        """The six tables with exactly their declared columns (storage-only
-        columns such as a partition key are projected away)."""
-        out = {}
-        for n in TABLE_NAMES:
-            df = self._tables[n]
-            cols = schemas.names(schemas.TABLES[n][0])
-            out[n] = df if df.columns == cols else df.select(*cols)
-        return out
+        return {n: self.table(n) for n in TABLE_NAMES}
 
 
 _STAGED_BARS: dict = {}
+_STAGE_LOCK = threading.Lock()
 
 
 def staged_bars(spark: SparkSession, src: TableSource) -> DataFrame:
@@ -388,10 +390,11 @@ def staged_bars(spark: SparkSession, src: TableSource) -> DataFrame:
     from .catalog import stage
 
     key = (spark.sparkContext.applicationId, src.root)
-    if key not in _STAGED_BARS:
-        flat = stage(landed.flatten_bars(landed.daily_bars(src)), scratch_path(spark, "daily_bars"))
-        _STAGED_BARS[key] = landed.nest_bars(flat)
-    return _STAGED_BARS[key]
+    with _STAGE_LOCK:  # concurrent table builds wait for one staging job
+        if key not in _STAGED_BARS:
+            flat = stage(landed.flatten_bars(landed.daily_bars(src)), scratch_path(spark, "daily_bars"))
+            _STAGED_BARS[key] = landed.nest_bars(flat)
+        return _STAGED_BARS[key]
 
 
 def landed_inputs(spark: SparkSession, sf_dir: str, stage_bars: bool = True) -> dict[str, DataFrame]:
