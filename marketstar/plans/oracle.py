@@ -345,6 +345,8 @@ from dim_sectors s left join (select sector, count(*) as companies from dim_comp
   on s.sector_name = c.sector""",
             ["dim_sectors", "dim_companies"],
         ),
+        "universe_flatten": """select concat('S', cast(s_suppkey as varchar)) as ticker, s_name as company_name, r_name as sector
+from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
         "prices_with_returns": _table("fact_stock_prices"),
         "prices_trailing_years": "with trail_bars as (\n" + _bars_sql(trailing_where) + "\n)\n"
         + _returns_sql("trail_bars", "ticker"),

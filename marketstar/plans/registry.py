@@ -35,6 +35,13 @@ def profiles_quarantine(spark, sf_dir):
     return K.profile_quarantine(landed.raw_profiles(src), landed.raw_prices(src), landed.raw_statements(src))
 
 
+def universe_flatten(spark, sf_dir):
+    """Nested universe records → one row per listed company."""
+    from ..sources.universe import flatten_universe_column
+
+    return flatten_universe_column(landed.raw_universe_nested(TableSource(spark, sf_dir)))
+
+
 def sector_reference(spark, sf_dir):
     """Sector list with the number of companies carrying each label."""
     star = _star(spark, sf_dir)
@@ -156,6 +163,7 @@ def registry() -> dict[str, QueryFn]:
         "profiles_normalised": profiles_normalised,
         "profiles_quarantine": profiles_quarantine,
         "sector_reference": sector_reference,
+        "universe_flatten": universe_flatten,
         "prices_with_returns": prices_with_returns,
         "prices_trailing_years": prices_trailing_years,
         "benchmark_with_returns": benchmark_with_returns,

@@ -97,6 +97,23 @@ def raw_profiles(src: TableSource) -> DataFrame:
     )
 
 
+def raw_universe_nested(src: TableSource) -> DataFrame:
+    """The ticker universe landed as nested records ``{sector: {ticker: name}}``.
+
+    One record per company (a nested JSON-lines style source), so a record
+    never holds more than one listing however large a sector grows.
+    """
+    region = F.broadcast(src.region)  # 5 rows at every scale factor
+    nation = F.broadcast(src.nation)  # 25 rows at every scale factor
+    base = src.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    ticker = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+    return base.select(
+        F.create_map(F.col("r_name"), F.create_map(ticker, F.col("s_name"))).alias("universe")
+    )
+
+
 def _line_key() -> Column:
     """Total order of line items inside a day; the trailing price rides along.
 

@@ -45,12 +45,20 @@ def sectors(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, SECTORS, [f.name for f in SECTOR_SCHEMA.fields])
 
 
-def flatten_universe(spark: SparkSession, nested: dict[str, dict[str, str]]) -> DataFrame:
-    """Flatten ``{sector: {ticker: name}}`` into ``(ticker, company_name, sector)`` rows.
+def flatten_universe_column(df: DataFrame, col: str = "universe") -> DataFrame:
+    """Rows holding ``map<sector, map<ticker, name>>`` → ``(ticker, company_name, sector)``.
 
-    The nested mapping is shipped as one literal ``map<string,map<string,string>>``
-    and flattened with two ``explode`` calls on the executors.
+    Two ``explode`` generators, evaluated per row on the executors; the
+    output of one record is bounded by the size of that record.
     """
+    by_sector = df.select(F.explode(col).alias("sector", "members"))
+    return by_sector.select("sector", F.explode("members").alias("ticker", "company_name")).select(
+        "ticker", "company_name", "sector"
+    )
+
+
+def flatten_universe(spark: SparkSession, nested: dict[str, dict[str, str]]) -> DataFrame:
+    """Flatten a literal ``{sector: {ticker: name}}`` mapping (one literal map row)."""
     outer = F.create_map(
         *[
             x
@@ -63,7 +71,4 @@ def flatten_universe(spark: SparkSession, nested: dict[str, dict[str, str]]) ->
             )
         ]
     )
-    by_sector = spark.range(1).select(F.explode(outer).alias("sector", "members"))
-    return by_sector.select(
-        "sector", F.explode("members").alias("ticker", "company_name")
-    ).select("ticker", "company_name", "sector")
+    return flatten_universe_column(spark.range(1).select(outer.alias("universe")))
