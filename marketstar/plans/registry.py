@@ -23,11 +23,16 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _star(spark: SparkSession, sf_dir: str) -> K.Star:
-    return K.star_from_driver(spark, sf_dir)
+    """The star published once per application and source folder (see
+    :func:`catalog.published_star`); tables are written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    return catalog.published_star(
+        spark, key, lambda: K.star_from_driver(spark, sf_dir), scratch_path(spark, "published_star")
+    )
 
 
 def profiles_normalised(spark, sf_dir):
-    return _star(spark, sf_dir).dim_companies
+    return _star(spark, sf_dir).table("dim_companies")
 
 
 def profiles_quarantine(spark, sf_dir):
@@ -52,7 +57,7 @@ def sector_reference(spark, sf_dir):
 
 
 def prices_with_returns(spark, sf_dir):
-    return _star(spark, sf_dir).fact_stock_prices
+    return _star(spark, sf_dir).table("fact_stock_prices")
 
 
 def prices_trailing_years(spark, sf_dir, p: Params = DEFAULT):
@@ -64,7 +69,7 @@ def prices_trailing_years(spark, sf_dir, p: Params = DEFAULT):
 
 
 def benchmark_with_returns(spark, sf_dir):
-    return _star(spark, sf_dir).fact_sp500_benchmark
+    return _star(spark, sf_dir).table("fact_sp500_benchmark")
 
 
 def statements_pivot(spark, sf_dir):
@@ -72,7 +77,7 @@ def statements_pivot(spark, sf_dir):
 
 
 def financials(spark, sf_dir):
-    return _star(spark, sf_dir).fact_financials
+    return _star(spark, sf_dir).table("fact_financials")
 
 
 def growth_padded(spark, sf_dir):
@@ -81,7 +86,7 @@ def growth_padded(spark, sf_dir):
 
 
 def indicators_long(spark, sf_dir):
-    return _star(spark, sf_dir).fact_economic_indicators
+    return _star(spark, sf_dir).table("fact_economic_indicators")
 
 
 def indicators_from_tsv(spark, sf_dir):
@@ -153,7 +158,7 @@ def table_roundtrip(spark, sf_dir):
     name = catalog.qualified(ROUNDTRIP_SCHEMA, "dim_companies")
     fields, comment = K.schemas.TABLES["dim_companies"]
     location = scratch_path(spark, "roundtrip_dim_companies")
-    catalog.save_with_comments(spark, star.dim_companies, name, fields, comment, location=location)
+    catalog.save_with_comments(spark, star.table("dim_companies"), name, fields, comment, location=location)
     spark.sql("USE SCHEMA default")
     return spark.table(name)
 

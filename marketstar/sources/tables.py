@@ -10,6 +10,9 @@ DRIVER_TABLES = (
 ).split()
 
 
+_SCANS: dict = {}
+
+
 class TableSource:
     """Lazily opens ``{root}/{name}.parquet``; each access is a fresh scan node.
 
@@ -20,15 +23,17 @@ class TableSource:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._scans: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
         if name not in DRIVER_TABLES:
             raise KeyError(f"unknown table {name!r}")
-        # One scan node per table: the footer/schema is read once per source.
-        if name not in self._scans:
-            self._scans[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-        return self._scans[name]
+        # One scan node per (application, folder, table): file listing and the
+        # footer/schema read happen once, not once per query.  The driver
+        # tables are read-only, so the shared scan stays valid.
+        key = (self.spark.sparkContext.applicationId, self.root, name)
+        if key not in _SCANS:
+            _SCANS[key] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return _SCANS[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
