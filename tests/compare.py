@@ -21,9 +21,19 @@ TABLES = (
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    """DuckDB with a view per driver table present in ``sf_dir`` (file or folder)."""
+    import glob
+    import os
+
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.isdir(path):
+            path = f"{path}/*.parquet"
+        elif not os.path.exists(path):
+            continue
+        if glob.glob(path):
+            con.execute(f"create view {t} as select * from read_parquet('{path}')")
     return con
 
 
