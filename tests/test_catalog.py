@@ -44,7 +44,10 @@ def test_comment_with_quote(spark):
 def test_materialize_cuts_lineage(spark, sf_small):
     star = star_from_driver(spark, sf_small)
     root = scratch_path(spark, "mat")
-    m = catalog.materialize(star, root)
+    report = {}
+    m = catalog.materialize(star, root, report=report)
+    assert report == {"dim_companies": 10, "dim_sectors": 11, "fact_stock_prices": 5334,
+                      "fact_sp500_benchmark": 2289, "fact_financials": 70, "fact_economic_indicators": 542}
     assert m.fact_financials.count() == 70
     files = m.fact_financials.inputFiles()
     assert files and all(f"{root}/fact_financials" in f for f in files)
