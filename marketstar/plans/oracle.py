@@ -293,7 +293,7 @@ def _inventory(order: list[str], count_col: str) -> str:
 
 def oracle_sql(p: Params = DEFAULT) -> dict[str, str]:
     y = p.this_year
-    end = _dt.date.fromisoformat(p.as_of)
+    end = p.as_of_date
     start = end - _dt.timedelta(days=365 * p.trailing_years)
     trailing_where = f"where l_shipdate >= timestamp '{start.isoformat()}' and l_shipdate < timestamp '{end.isoformat()}'"
     fund = ["vw_company_fundamentals"]

@@ -32,9 +32,15 @@ from .star import Star
 
 @dataclass(frozen=True)
 class Params:
-    """Query parameters; defaults fit the driver-derived data."""
+    """Query parameters.
 
-    as_of: str = "2000-12-31"
+    ``as_of`` replaces ``CURRENT_DATE``: ``None`` means today (read once
+    when the plan is built, as ``current_date()`` is fixed per query).  The
+    other defaults fit the driver-derived data; :data:`DEFAULT` pins
+    ``as_of`` for it.
+    """
+
+    as_of: str | None = None
     ticker: str = "S1"
     gdp: str = "IND 2-HIGH"
     inflation: str = "IND 1-URGENT"
@@ -55,12 +61,17 @@ class Params:
     sample_country: str = "NATION_1"
     trailing_years: int = 5
 
+    @property
+    def as_of_date(self) -> _dt.date:
+        return _dt.date.fromisoformat(self.as_of) if self.as_of else _dt.date.today()
+
     @property
     def this_year(self) -> int:
-        return _dt.date.fromisoformat(self.as_of).year
+        return self.as_of_date.year
 
 
-DEFAULT = Params()
+# Parameter set for the driver data (its dates run 1995-2001).
+DEFAULT = Params(as_of="2000-12-31")
 
 
 def _count() -> Column:

@@ -62,7 +62,7 @@ def prices_with_returns(spark, sf_dir):
 
 def prices_trailing_years(spark, sf_dir, p: Params = DEFAULT):
     """Bars of the trailing ``5 x 365`` days before ``as_of`` with returns inside that range."""
-    end = _dt.date.fromisoformat(p.as_of)
+    end = p.as_of_date
     start = end - _dt.timedelta(days=365 * p.trailing_years)
     raw = landed.raw_prices(TableSource(spark, sf_dir), start.isoformat(), end.isoformat())
     return K.stock_prices(raw)

@@ -59,3 +59,29 @@ def test_index_rollup_equals_direct_aggregation(spark, sf_small):
         F.min_by(unit, key).alias("open_price"), F.max(unit).alias("high_price"), F.min(unit).alias("low_price"),
         F.max_by(unit, key).alias("close_price"), F.sum("l_quantity").cast("bigint").alias("volume"))
     assert rolled.exceptAll(direct).count() == 0 and direct.exceptAll(rolled).count() == 0
+
+
+def test_landed_file_readers_roundtrip(spark, sf_small):
+    """Bars, index and statements landed as parquet, scanned with declared schemas."""
+    src = TableSource(spark, sf_small)
+    root = scratch_path(spark, "landed")
+    frames = {
+        "prices": (landed.raw_prices(src), files.read_prices),
+        "index": (landed.raw_index(src), files.read_index),
+        "statements": (landed.raw_statements(src), files.read_statements),
+    }
+    for name, (df, reader) in frames.items():
+        df.write.parquet(f"{root}/{name}")
+        back = reader(spark, f"{root}/{name}")
+        assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0, name
+    fin_a = K.financials(files.read_statements(spark, f"{root}/statements"))
+    assert fin_a.count() == 70
+
+
+def test_params_default_to_today():
+    import datetime as dt
+
+    from marketstar.plans.queries import DEFAULT, Params
+
+    assert Params().this_year == dt.date.today().year
+    assert DEFAULT.this_year == 2000
