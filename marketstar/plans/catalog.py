@@ -131,11 +131,19 @@ def storage_layout(name: str, df: DataFrame) -> tuple[DataFrame, list[str] | Non
     universe, and its queries filter by calendar year or by ticker.  It is
     written partitioned by ``trade_year`` (year filters prune folders) and
     sorted by ticker and date inside each task (ticker lookups skip row groups
-    by their min/max statistics).  The sort is local: no extra shuffle.
+    by their min/max statistics).
+
+    The ``rebalance`` hint puts one exchange on ``trade_year`` in front of the
+    writer, managed by AQE: small partitions are coalesced and an oversized
+    year is split into several tasks.  Without it every task would write one
+    small file per year it holds (tasks x years files); with it the files of
+    a year come out near the advisory partition size.
     """
     if name == "fact_stock_prices":
-        out = df.withColumn("trade_year", F.year("trade_date").cast("int")).sortWithinPartitions(
-            "trade_year", "ticker", "trade_date"
+        out = (
+            df.withColumn("trade_year", F.year("trade_date").cast("int"))
+            .hint("rebalance", "trade_year")
+            .sortWithinPartitions("trade_year", "ticker", "trade_date")
         )
         return out, ["trade_year"]
     return df, None
