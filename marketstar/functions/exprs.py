@@ -59,6 +59,16 @@ def nan_to_null(x: ColumnOrName) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def nan_to_null_all(df: DataFrame) -> DataFrame:
+    """Apply :func:`nan_to_null` to every ``double``/``float`` column (ingest rule)."""
+    return df.select(
+        *[
+            nan_to_null(f.name).alias(f.name) if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 def dividend_yield(rate: ColumnOrName, price: ColumnOrName) -> Column:
     """Yield in percent of price; 0.0 when the price is missing or not positive."""
     rate, price = _c(rate), _c(price)

@@ -151,26 +151,6 @@ STATEMENT_ITEMS = {
     "Operating Cash Flow": "operating_cash_flow",
 }
 
-STATEMENT_COLUMNS = [
-    "ticker",
-    "fiscal_year",
-    "period_end",
-    "revenue",
-    "cost_of_revenue",
-    "gross_profit",
-    "operating_income",
-    "net_income",
-    "eps",
-    "total_assets",
-    "total_liabilities",
-    "stockholders_equity",
-    "cash",
-    "long_term_debt",
-    "current_assets",
-    "current_liabilities",
-    "operating_cash_flow",
-]
-
 
 def statement_periods(raw_statements: DataFrame) -> DataFrame:
     """One row per (ticker, income-statement period) with the 14 raw items.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,10 +79,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/marketstar/{name}-{uuid.uuid4().hex}"
-
-
-def ensure_local_parent(path: str) -> None:
-    """Create the parent of a local ``file:`` path (no-op for remote URIs)."""
-    if "://" in path and not path.startswith("file:"):
-        return
-    os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)

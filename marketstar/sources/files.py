@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
+from ..functions.exprs import nan_to_null_all
 
 
 def read_delimited_panel(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -34,14 +35,17 @@ def write_delimited_panel(df: DataFrame, path: str, sep: str = "\t") -> str:
 
 
 def _read(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
+    """Scan with a declared schema; NaN in numeric fields becomes NULL on ingest."""
     reader = spark.read.schema(schema)
     if fmt == "json":
-        return reader.json(path)
-    if fmt == "parquet":
-        return reader.parquet(path)
-    if fmt == "csv":
-        return reader.option("header", "true").csv(path)
-    raise ValueError(f"unsupported format {fmt!r}")
+        df = reader.json(path)
+    elif fmt == "parquet":
+        df = reader.parquet(path)
+    elif fmt == "csv":
+        df = reader.option("header", "true").csv(path)
+    else:
+        raise ValueError(f"unsupported format {fmt!r}")
+    return nan_to_null_all(df)
 
 
 def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

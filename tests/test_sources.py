@@ -85,3 +85,11 @@ def test_params_default_to_today():
 
     assert Params().this_year == dt.date.today().year
     assert DEFAULT.this_year == 2000
+
+
+def test_nan_becomes_null_on_ingest(spark):
+    path = scratch_path(spark, "nan_bars")
+    rows = [("A", __import__("datetime").date(2000, 1, 3), float("nan"), 2.0, 1.0, 1.5, 10)]
+    spark.createDataFrame(rows, schemas.RAW_PRICES).write.parquet(path)
+    (r,) = files.read_prices(spark, path).collect()
+    assert r.open_price is None and r.close_price == 1.5
