@@ -210,7 +210,7 @@ from stmt_base""",
     ),
     "fact_financials": (_financials_sql(pad=False), ("statement_periods",)),
     "fact_financials_padded": (_financials_sql(pad=True), ("statement_periods",)),
-    "weo_cells": (
+    "panel_cells": (
         """select nk, n_name, code, y,
   case when (nk + y) % 17 = 0 then null when (nk + y) % 13 = 0 then '--' when (nk + y) % 11 = 0 then 'n/a'
        else format('{:,.3f}', v) end as cell
@@ -226,9 +226,9 @@ join nation on nk = n_nationkey""",
   code as indicator_code, 'IND ' || code as indicator_name, y as year,
   {R("try_cast(replace(cell, ',', '') as double)", 3)} as value,
   case when not (nk % 6 = 0 and code = '5-LOW') and y > 2019 then 'Y' else 'N' end as is_projection
-from weo_cells
+from panel_cells
 where cell is not null and cell not in ('n/a', '--') and try_cast(replace(cell, ',', '') as double) is not null""",
-        ("weo_cells",),
+        ("panel_cells",),
     ),
     "vw_company_fundamentals": (
         f"select {_COMPANY_COLS}, {_FUND_FACT_COLS} from dim_companies c left join fact_financials f on c.ticker = f.ticker",

@@ -91,8 +91,8 @@ def indicators_long(spark, sf_dir):
 
 def indicators_from_tsv(spark, sf_dir):
     """Land the wide panel as a tab-separated file, scan it back, reshape it."""
-    path = scratch_path(spark, "weo_tsv")
-    files.write_delimited_panel(landed.raw_weo_wide(TableSource(spark, sf_dir)), path)
+    path = scratch_path(spark, "panel_tsv")
+    files.write_delimited_panel(landed.raw_indicator_panel(TableSource(spark, sf_dir)), path)
     return K.indicators(files.read_delimited_panel(spark, path), K.driver_indicator_spec())
 
 

@@ -224,6 +224,8 @@ def financials(raw_statements: DataFrame, pad: bool = False) -> DataFrame:
 
 # ------------------------------------------------------------------ K10
 
+# Identifier headers of the wide indicator file, as the
+# source publishes them (a real file is read with exactly these names).
 WIDE_ID_COLUMNS = ("ISO", "Country", "WEO Subject Code", "Estimates Start After")
 YEAR_RANGE = [str(y) for y in range(2015, 2031)]
 
@@ -387,7 +389,7 @@ def landed_inputs(spark: SparkSession, sf_dir: str, stage_bars: bool = True) ->
             "raw_prices": lambda: landed.prices_from_bars(raw["bars"]),
             "raw_index": lambda: landed.index_from_bars(raw["bars"]),
             "raw_statements": lambda: landed.raw_statements(src),
-            "raw_weo": lambda: landed.raw_weo_wide(src),
+            "raw_panel": lambda: landed.raw_indicator_panel(src),
         }
     )
     return raw
@@ -408,7 +410,7 @@ def build_star(
         fact_stock_prices=lambda: stock_prices(raw["raw_prices"], pad=pad_returns),
         fact_sp500_benchmark=lambda: benchmark(raw["raw_index"], pad=pad_returns),
         fact_financials=lambda: financials(raw["raw_statements"], pad=pad_growth),
-        fact_economic_indicators=lambda: indicators(raw["raw_weo"], spec),
+        fact_economic_indicators=lambda: indicators(raw["raw_panel"], spec),
     )
 
 

@@ -265,7 +265,7 @@ def panel_years() -> list[str]:
     return [str(y) for y in range(2015, 2022)]
 
 
-def raw_weo_wide(src: TableSource) -> DataFrame:
+def raw_indicator_panel(src: TableSource) -> DataFrame:
     """Wide, all-string indicator panel: one row per nation and priority code.
 
     Columns ``ISO, Country, WEO Subject Code, Estimates Start After`` and

@@ -44,7 +44,7 @@ def test_view_cardinalities(star):
 
 
 def test_unpivot_count_equals_valid_cells(star):
-    wide = star.raw["raw_weo"]
+    wide = star.raw["raw_panel"]
     years = [c for c in wide.columns if c.isdigit()]
     cells = wide.select(F.explode(F.array(*[F.col(f"`{y}`") for y in years])).alias("v"))
     valid = cells.where(

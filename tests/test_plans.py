@@ -30,7 +30,7 @@ def test_bars_shuffle_on_both_keys_after_partial_aggregation(spark, sf_small):
 
 
 def test_orders_preaggregated_before_customer_join(spark, sf_small):
-    text = plan(landed.raw_weo_wide(TableSource(spark, sf_small)), "simple")
+    text = plan(landed.raw_indicator_panel(TableSource(spark, sf_small)), "simple")
     first_join = text.rfind("Join")
     scan = text.find("FileScan parquet [o_custkey")
     assert "partial_sum" in text[first_join:scan] or "partial_sum" in text[scan - 400:scan]

@@ -10,7 +10,7 @@ from marketstar.sources.tables import TableSource
 
 
 def test_tsv_roundtrip_matches_in_memory_panel(spark, sf_small):
-    wide = landed.raw_weo_wide(TableSource(spark, sf_small))
+    wide = landed.raw_indicator_panel(TableSource(spark, sf_small))
     path = files.write_delimited_panel(wide, scratch_path(spark, "tsv"))
     back = files.read_delimited_panel(spark, path)
     assert set(back.columns) == set(wide.columns)
