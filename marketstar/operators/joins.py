@@ -6,11 +6,13 @@ Broadcast policy:
   the data volume: the calendar (one index bar per day), the fixed
   nation/region lists, the literal sector list.  Those get an explicit
   ``broadcast`` hint.
-* Everything else (companies grow with the number of suppliers, statements
-  with suppliers x years) joins without a hint.  Spark then checks the size:
-  statically against ``spark.sql.autoBroadcastJoinThreshold`` from scan
-  statistics, and again at run time through AQE from the real shuffle
-  sizes; above the threshold it keeps a sort-merge join on the key.
+* ``dimension_join`` with ``max_broadcast_rows`` measures the dimension
+  first (a row count: metadata-only on parquet, one small job on a derived
+  plan) and broadcasts it only under the bound; above it the join is left to
+  a shuffle (sort-merge) join on the key.
+* Without a bound (e.g. statements, which grow with tickers x years) no
+  hint is given; Spark still checks size statically against
+  ``spark.sql.autoBroadcastJoinThreshold`` and again at run time via AQE.
 """
 
 from __future__ import annotations
@@ -24,6 +26,20 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Fact ⋈ dimension with the size decision left to Spark (see module doc)."""
+# Largest dimension broadcast after a count check.  A projected company row
+# is well under 100 bytes, so the bound keeps a broadcast below ~100 MB.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def dimension_join(
+    fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_broadcast_rows: int | None = None
+) -> DataFrame:
+    """Fact ⋈ dimension; broadcast the dimension only behind a size check.
+
+    ``dim`` must be the right (build) side, so only inner and left joins can
+    broadcast it.  With no bound the decision is left to Spark's estimates.
+    """
+    if max_broadcast_rows is not None and how in ("inner", "left", "left_semi", "left_anti"):
+        if dim.count() <= max_broadcast_rows:
+            return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

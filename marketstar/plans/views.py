@@ -2,11 +2,14 @@
 
 Join strategy:
 
-* companies ⋈ facts on ``ticker``: no hint.  Companies grow with the
-  number of listed names, so Spark decides from size statistics (static
-  threshold, then AQE at run time) between a broadcast hash join and a
-  sort-merge join.  The price fact leaves its return window hash-partitioned
-  on ``ticker``, so a sort-merge join reuses that partitioning.
+* companies ⋈ price facts on ``ticker``: companies grow with the number of
+  listed names, so they are counted first and broadcast only under
+  ``MAX_BROADCAST_ROWS``; above it the join is a sort-merge join, and the
+  price fact's return window already left it hash-partitioned on ``ticker``
+  (no second exchange on the fact side).
+* companies ⟕ financials: the preserved side cannot be broadcast and the
+  statements grow with tickers x years, so Spark decides from size
+  statistics (static threshold, then AQE at run time).
 * prices ⋈ index on ``trade_date``: the index holds one row per calendar
   day, a bound independent of data volume, so it is broadcast.
 """
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast, dimension_join
+from ..operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast, dimension_join
 from .star import Star
 
 FUNDAMENTALS_COMPANY_COLS = [
@@ -92,7 +95,7 @@ def stock_performance(star: Star) -> DataFrame:
     c = star.dim_companies.select("ticker", "company_name", "sector", "industry", "market_cap")
     p = star.fact_stock_prices
     stored = "trade_year" in p.columns
-    return dimension_join(p, c, "ticker").select(
+    return dimension_join(p, c, "ticker", max_broadcast_rows=MAX_BROADCAST_ROWS).select(
         "ticker",
         "company_name",
         "sector",
@@ -123,7 +126,7 @@ def stock_vs_benchmark(star: Star) -> DataFrame:
         )
     )
     return (
-        dimension_join(p, c, "ticker")
+        dimension_join(p, c, "ticker", max_broadcast_rows=MAX_BROADCAST_ROWS)
         .join(b, "trade_date")
         .select(
             "ticker",

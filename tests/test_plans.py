@@ -57,3 +57,20 @@ def test_no_python_evaluation(spark, sf_small, name):
     text = plan(E.queries()[name](spark, sf_small), "simple")
     for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert marker not in text
+
+
+def test_dimension_broadcast_only_behind_count(spark, sf_small):
+    from marketstar.operators.joins import dimension_join
+
+    star = star_from_driver(spark, sf_small)
+    fact, dim = star.fact_stock_prices, star.dim_companies.select("ticker", "sector")
+    small = plan(dimension_join(fact, dim, "ticker", max_broadcast_rows=1_000), "simple")
+    assert "BroadcastHashJoin [ticker" in small.replace("#", " ").replace("  ", " ") or "BroadcastExchange" in small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = plan(dimension_join(fact, dim, "ticker", max_broadcast_rows=5), "simple")
+        assert "SortMergeJoin" in big and "BroadcastExchange" not in big.split("SortMergeJoin", 1)[1].split("\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
