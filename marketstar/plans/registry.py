@@ -36,8 +36,8 @@ def profiles_normalised(spark, sf_dir):
 
 
 def profiles_quarantine(spark, sf_dir):
-    src = TableSource(spark, sf_dir)
-    return K.profile_quarantine(landed.raw_profiles(src), landed.raw_prices(src), landed.raw_statements(src))
+    raw = K.landed_inputs(spark, sf_dir)
+    return K.profile_quarantine(raw["raw_profiles"], raw["raw_prices"], raw["raw_statements"])
 
 
 def universe_flatten(spark, sf_dir):
@@ -73,7 +73,7 @@ def benchmark_with_returns(spark, sf_dir):
 
 
 def statements_pivot(spark, sf_dir):
-    return K.statement_periods(landed.raw_statements(TableSource(spark, sf_dir)))
+    return K.statement_periods(K.landed_inputs(spark, sf_dir)["raw_statements"])
 
 
 def financials(spark, sf_dir):
@@ -81,7 +81,7 @@ def financials(spark, sf_dir):
 
 
 def growth_padded(spark, sf_dir):
-    fin = K.financials(landed.raw_statements(TableSource(spark, sf_dir)), pad=True)
+    fin = K.financials(K.landed_inputs(spark, sf_dir)["raw_statements"], pad=True)
     return fin.select("ticker", "fiscal_year", "revenue", "net_income", "revenue_growth_pct", "net_income_growth_pct")
 
 

@@ -388,7 +388,7 @@ def landed_inputs(spark: SparkSession, sf_dir: str, stage_bars: bool = True) ->
             "raw_profiles": lambda: landed.raw_profiles(src),
             "raw_prices": lambda: landed.prices_from_bars(raw["bars"]),
             "raw_index": lambda: landed.index_from_bars(raw["bars"]),
-            "raw_statements": lambda: landed.raw_statements(src),
+            "raw_statements": lambda: landed.raw_statements(src, raw["bars"]),
             "raw_panel": lambda: landed.raw_indicator_panel(src),
         }
     )
