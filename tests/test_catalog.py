@@ -65,3 +65,26 @@ def test_materialized_star_answers_like_lazy_plans(spark, sf_small):
         a = sorted(map(tuple, QUERIES[name](lazy, DEFAULT).collect()))
         b = sorted(map(tuple, QUERIES[name](stored, DEFAULT).collect()))
         assert a == b, name
+
+
+def test_sql_over_registered_views_matches_dataframe_query(spark, sf_small):
+    from marketstar.plans import views as V
+    from marketstar.plans.queries import DEFAULT, l17_sector_outperformance
+
+    star = star_from_driver(spark, sf_small)
+    V.register_temp_views(spark, star)
+    sql = """
+        SELECT sector,
+               CAST(ROUND(CAST(AVG(stock_daily_return_pct) AS DECIMAL(28,8)), 4) AS DOUBLE) AS avg_sector_return,
+               CAST(ROUND(CAST(AVG(sp500_daily_return_pct) AS DECIMAL(28,8)), 4) AS DOUBLE) AS avg_sp500_return,
+               CAST(ROUND(CAST(AVG(excess_return_pct) AS DECIMAL(28,8)), 4) AS DOUBLE) AS avg_excess_return,
+               COUNT(DISTINCT ticker) AS stocks
+        FROM vw_stock_vs_benchmark
+        WHERE trade_year = YEAR(CAST(:as_of AS DATE))
+        GROUP BY sector
+    """
+    a = sorted(map(tuple, spark.sql(sql, args={"as_of": DEFAULT.as_of}).collect()))
+    b = sorted(map(tuple, l17_sector_outperformance(star, DEFAULT).collect()))
+    assert a == b
+    n = spark.sql("SELECT COUNT(*) FROM dim_companies").first()[0]
+    assert n == star.dim_companies.count()
