@@ -30,6 +30,18 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 # is well under 100 bytes, so the bound keeps a broadcast below ~100 MB.
 MAX_BROADCAST_ROWS = 1_000_000
 
+# Row counts already measured, by plan.  The count only chooses between a
+# broadcast and a sort-merge join, so a reused value can never change a
+# result; it saves one count job each time the same view is built again.
+_MEASURED: dict = {}
+
+
+def measured_rows(df: DataFrame) -> int:
+    key = df.semanticHash()
+    if key not in _MEASURED:
+        _MEASURED[key] = df.count()
+    return _MEASURED[key]
+
 
 def dimension_join(
     fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_broadcast_rows: int | None = None
@@ -40,6 +52,6 @@ def dimension_join(
     broadcast it.  With no bound the decision is left to Spark's estimates.
     """
     if max_broadcast_rows is not None and how in ("inner", "left", "left_semi", "left_anti"):
-        if dim.count() <= max_broadcast_rows:
+        if measured_rows(dim) <= max_broadcast_rows:
             return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)
