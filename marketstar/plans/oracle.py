@@ -340,8 +340,9 @@ select ticker, 'statements' as stage, 'no income statement' as error from raw_pr
             ["raw_profiles"],
         ),
         "sector_reference": with_ctes(
-            """select s.sector_name, s.description, cast(coalesce(c.companies, 0) as bigint) as companies
-from dim_sectors s left join (select sector, count(*) as companies from dim_companies group by sector) c
+            """select coalesce(s.sector_name, c.sector) as sector_name, s.description,
+  cast(coalesce(c.companies, 0) as bigint) as companies
+from dim_sectors s full join (select sector, count(*) as companies from dim_companies group by sector) c
   on s.sector_name = c.sector""",
             ["dim_sectors", "dim_companies"],
         ),

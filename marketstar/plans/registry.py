@@ -48,11 +48,18 @@ def universe_flatten(spark, sf_dir):
 
 
 def sector_reference(spark, sf_dir):
-    """Sector list with the number of companies carrying each label."""
+    """Sector coverage: the reference sector list against the companies' sector labels.
+
+    Full outer join, so listed sectors without companies show 0 and company
+    labels missing from the list show up with a NULL description (the
+    source's label may differ from the curated list).
+    """
     star = _star(spark, sf_dir)
     counts = star.dim_companies.groupBy("sector").agg(F.count(F.lit(1)).alias("companies"))
-    return star.dim_sectors.join(counts, F.col("sector_name") == F.col("sector"), "left").select(
-        "sector_name", "description", F.coalesce("companies", F.lit(0)).cast("bigint").alias("companies")
+    return star.dim_sectors.join(counts, F.col("sector_name") == F.col("sector"), "full").select(
+        F.coalesce("sector_name", "sector").alias("sector_name"),
+        "description",
+        F.coalesce("companies", F.lit(0)).cast("bigint").alias("companies"),
     )
 
 
