@@ -149,20 +149,44 @@ def storage_layout(name: str, df: DataFrame) -> tuple[DataFrame, list[str] | Non
     return df, None
 
 
-def publish(spark: SparkSession, star: Star, schema: str, location: str | None = None) -> None:
+def publish(
+    spark: SparkSession,
+    star: Star,
+    schema: str,
+    location: str | None = None,
+    parallel: int = 4,
+    report: dict | None = None,
+) -> None:
     """Write the six tables with comments, then create the four views.
 
-    With ``location`` the tables are external, one folder per table under
-    it (shared storage); otherwise they are managed by the catalog.
+    The table loads are independent jobs and run concurrently (up to
+    ``parallel``), then the views are created -- the reference job's order
+    (loads side by side, views after both).  With ``location`` the tables
+    are external, one folder per table under it (shared storage); otherwise
+    they are managed by the catalog.  ``report`` receives the row count of
+    each table, observed during its write.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from .star import TABLE_NAMES
+
     use_schema(spark, schema)
-    for name, df in star.tables().items():
+
+    def load(name):
         fields, comment = schemas.TABLES[name]
         where = f"{location.rstrip('/')}/{name}" if location else None
-        data, parts = storage_layout(name, df)
+        data, parts = storage_layout(name, star.table(name))
+        obs = None
+        if report is not None:
+            data, obs = observed(data, name)
         save_with_comments(
             spark, data, qualified(schema, name), fields, comment, location=where, partition_by=parts
         )
+        if obs is not None:
+            report[name] = obs.get["rows"]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(load, TABLE_NAMES))
     for stmt in view_sql(schema).values():
         spark.sql(stmt)
 

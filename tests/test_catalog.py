@@ -15,7 +15,9 @@ def test_publish_with_comments_and_views(spark, sf_small):
     schema = "ms_test_publish"
     star = star_from_driver(spark, sf_small)
     where = scratch_path(spark, "publish")
-    catalog.publish(spark, star, schema, location=where)
+    loaded = {}
+    catalog.publish(spark, star, schema, location=where, report=loaded)
+    assert loaded["fact_stock_prices"] == 5334 and loaded["dim_sectors"] == 11
     t = catalog.qualified(schema, "fact_stock_prices")
     comments = catalog.column_comments(spark, t)
     assert comments["close_price"].startswith("Last trade price")
