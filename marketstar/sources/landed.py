@@ -210,7 +210,9 @@ def index_from_bars(bars: DataFrame) -> DataFrame:
         F.max("high_price").alias("high_price"),
         F.min("low_price").alias("low_price"),
         F.max("last_line").px.alias("close_price"),
-        F.sum("volume").cast("bigint").alias("volume"),
+        # Cast the day's total once (summing per-supplier truncated volumes
+        # would only be exact for whole quantities).
+        F.sum("day_quantity").cast("bigint").alias("volume"),
     )
 
 
