@@ -1,7 +1,7 @@
 """Spark vs DuckDB comparison in the shape of the driver's check.
 
-Row count, column names, and an order-insensitive hash of the values with
-columns sorted by name.  Doubles are compared through ``repr`` after
+Row count, column names and types, and an order-insensitive hash of the
+values with columns sorted by name.  Doubles are compared through ``repr`` after
 normalising ``-0.0``; dates/timestamps through ISO text.
 """
 
@@ -68,7 +68,19 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+SPARK_TO_DUCKDB = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def compare(spark_df, con, sql):
+    s_types = {c: SPARK_TO_DUCKDB.get(t, t) for c, t in spark_df.dtypes}
+    d_types = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
@@ -91,7 +103,14 @@ def compare(spark_df, con, sql):
         out["value_match"] = False
         out["cols_spark"] = sorted(s_cols)
         out["cols_oracle"] = sorted(d_cols)
-    out["ok"] = out["schema_match"] and out["value_match"] and out["rows_spark"] == out["rows_oracle"]
+    out["type_match"] = s_types == d_types
+    if not out["type_match"]:
+        out["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
+    out["ok"] = (
+        out["schema_match"] and out["type_match"] and out["value_match"]
+        and out["rows_spark"] == out["rows_oracle"]
+    )
     return out
 
 
