@@ -231,8 +231,10 @@ def filter_counts(view: DataFrame, names: Sequence[str], key: str = "ticker") ->
 
     all_names = literal_rows(view.sparkSession, [(n,) for n in names], ["filter_name"])
     # ``matched`` has at most one row per filter name: a bounded broadcast.
+    from ..operators.joins import bounded_broadcast
+
     return (
-        all_names.join(F.broadcast(matched), "filter_name", "left")
+        all_names.join(bounded_broadcast(matched), "filter_name", "left")
         .select(
             "filter_name",
             F.coalesce("matched_rows", F.lit(0)).cast("bigint").alias("matched_rows"),

@@ -3,9 +3,10 @@
 Broadcast policy:
 
 * ``bounded_broadcast`` is for frames whose size has a proof independent of
-  the data volume: the calendar (one index bar per day), the fixed
-  nation/region lists, the literal sector list.  Those get an explicit
-  ``broadcast`` hint.
+  the data volume: the index (one bar per calendar day), the fixed
+  nation/region tables (25/5 rows at every scale) and the per-filter counts
+  of the semantic layer (one row per filter name).  Every explicit
+  ``broadcast`` hint in the library goes through it.
 * ``dimension_join`` with ``max_broadcast_rows`` measures the dimension
   first (a row count: metadata-only on parquet, one small job on a derived
   plan) and broadcasts it only under the bound; above it the join is left to
