@@ -90,3 +90,13 @@ def test_sql_over_registered_views_matches_dataframe_query(spark, sf_small):
     assert a == b
     n = spark.sql("SELECT COUNT(*) FROM dim_companies").first()[0]
     assert n == star.dim_companies.count()
+
+
+def test_load_job(spark, sf_small):
+    from marketstar.plans import job
+
+    report = job.run(spark, sf_small, "ms_test_job", location=scratch_path(spark, "job"))
+    assert report["fact_financials"] == 70 and report["fact_economic_indicators"] == 542
+    n = spark.sql("SELECT COUNT(*) FROM `ms_test_job`.`vw_economic_overview`").first()[0]
+    assert n == 542
+    spark.sql("USE SCHEMA default")
