@@ -57,6 +57,9 @@ def test_no_python_evaluation(spark, sf_small, name):
     text = plan(E.queries()[name](spark, sf_small), "simple")
     for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert marker not in text
+    # No cross joins: every join has an equi-key.
+    for marker in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert marker not in text
 
 
 def test_dimension_broadcast_only_behind_count(spark, sf_small):
@@ -74,3 +77,20 @@ def test_dimension_broadcast_only_behind_count(spark, sf_small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_library_never_pulls_data_to_the_driver():
+    """Static check: no collect/toPandas/take/RDD access anywhere in the package."""
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "marketstar"
+    # ``F.first`` (an aggregate) is fine; ``df.first()`` (an action) is not.
+    pattern = re.compile(r"(?<!F)\.(collect|toPandas|toLocalIterator|take|head|first)\(|\.rdd\b")
+    offenders = [
+        f"{path.name}:{i}"
+        for path in root.rglob("*.py")
+        for i, line in enumerate(path.read_text().splitlines(), 1)
+        if pattern.search(line)
+    ]
+    assert offenders == []
