@@ -61,6 +61,18 @@ class Params:
     sample_country: str = "NATION_1"
     trailing_years: int = 5
 
+    @classmethod
+    def latest(cls, star: Star, **overrides) -> "Params":
+        """Parameters anchored on the most recent trading day in the data.
+
+        The default-to-latest-period rule for calendar-year questions: one
+        aggregate over the index fact (one row per calendar day, so bounded)
+        returns a single date, which then becomes a literal in every plan so
+        year filters still prune partitions.
+        """
+        (last,) = star.fact_sp500_benchmark.agg(F.max("trade_date")).first()
+        return cls(as_of=last.isoformat() if last else None, **overrides)
+
     @property
     def as_of_date(self) -> _dt.date:
         return _dt.date.fromisoformat(self.as_of) if self.as_of else _dt.date.today()

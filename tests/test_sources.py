@@ -117,3 +117,10 @@ def test_star_from_landed_files_equals_driver_star(spark, sf_small):
         a, b = lazy.table(name), from_files.table(name)
         assert a.columns == b.columns, name
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_params_latest_anchor(spark, sf_small):
+    from marketstar.plans.queries import Params
+
+    p = Params.latest(K.star_from_driver(spark, sf_small), ticker="S2")
+    assert p.as_of == "2001-11-04" and p.this_year == 2001 and p.ticker == "S2"
