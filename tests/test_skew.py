@@ -38,3 +38,21 @@ def test_hot_supplier_bars_match_direct_sql(spark, skewed_dir):
 
     r = compare(fin, con, with_ctes("select * from fact_financials", ["fact_financials"]))
     assert r["ok"], r
+
+
+def test_hot_customer_indicator_panel_matches_sql(spark, sf_small):
+    src = TableSource(spark, sf_small)
+    root = scratch_path(spark, "skewed_orders")
+    o = src.orders
+    hot = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("o_custkey")))
+    hot.write.parquet(f"{root}/orders.parquet")
+    for t in ("customer", "nation"):
+        src(t).write.parquet(f"{root}/{t}.parquet")
+    hsrc = TableSource(spark, root)
+    (share,) = hsrc.orders.agg(F.avg((F.col("o_custkey") == 1).cast("double"))).first()
+    assert share > 0.33
+    from marketstar.plans.oracle import with_ctes
+
+    ind = K.indicators(landed.raw_indicator_panel(hsrc), K.driver_indicator_spec())
+    r = compare(ind, duck(root), with_ctes("select * from fact_economic_indicators", ["fact_economic_indicators"]))
+    assert r["ok"], r
