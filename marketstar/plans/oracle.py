@@ -624,5 +624,60 @@ from vw_stock_vs_benchmark where beta > 1.2 group by sector, trade_year""",
             vsb,
         ),
         "table_roundtrip": _table("dim_companies"),
+        "q_ask_highest_volume_days": with_ctes(
+            f"""select ticker, trade_date, volume, {R('close_price', 2)} as close, {R('daily_return_pct', 2)} as return_pct
+from vw_stock_performance where ticker = {_lit(p.ticker)}
+order by volume desc nulls last, trade_date desc limit 10""",
+            perf,
+        ),
+        "q_ask_top_beta": with_ctes(
+            f"""select ticker, company_name, sector, {R('beta', 2)} as beta from dim_companies
+order by beta desc nulls last, ticker limit 5""",
+            ["dim_companies"],
+        ),
+        "q_ask_highest_roe": with_ctes(
+            f"""select ticker, company_name, sector, fiscal_year, {R('return_on_equity_pct', 2)} as roe_pct
+from vw_company_fundamentals where fiscal_year = {_LATEST_FY}
+order by return_on_equity_pct desc nulls last, ticker limit 10""",
+            fund,
+        ),
+        "q_ask_sector_revenue_growth": with_ctes(
+            f"""select ticker, company_name, fiscal_year, {R('revenue_growth_pct', 2)} as revenue_growth_pct
+from vw_company_fundamentals where sector = {_lit(p.sector)} and fiscal_year = {_LATEST_FY}
+order by vw_company_fundamentals.revenue_growth_pct desc nulls last, ticker limit 10""",
+            fund,
+        ),
+        "q_ask_low_pe_in_sector": with_ctes(
+            f"""select ticker, company_name, {R('trailing_pe', 1)} as pe from dim_companies
+where sector = {_lit(p.sector)} and trailing_pe > 0 order by trailing_pe, ticker limit 10""",
+            ["dim_companies"],
+        ),
+        "q_ask_margin_comparison": with_ctes(
+            f"""select ticker, company_name, fiscal_year, {R('net_margin_pct', 2)} as net_margin_pct
+from vw_company_fundamentals where ticker in ({_in(p.ticker_pair)}) and fiscal_year > {_LATEST_FY} - 5""",
+            fund,
+        ),
+        "q_ask_indicator_forecast": with_ctes(
+            f"""select country, year, {R('value', 2)} as gdp_growth_pct, is_projection from vw_economic_overview
+where country = {_lit(p.forecast_country)} and indicator_name = {_lit(p.gdp)} and year = {p.forecast_year}""",
+            eco,
+        ),
+        "q_ask_inflation_comparison": with_ctes(
+            f"""select country, year, {R('value', 2)} as inflation_pct, is_projection from vw_economic_overview
+where indicator_name = {_lit(p.inflation)} and country in ({_in(p.country_trio)})""",
+            eco,
+        ),
+        "q_ask_highest_debt": with_ctes(
+            f"""select country, year, {R('value', 1)} as govt_debt_pct_gdp from vw_economic_overview
+where indicator_name = {_lit(p.govt_debt)} and year = {_latest_year(p.govt_debt, True)}
+order by value desc nulls last, country limit 1""",
+            eco,
+        ),
+        "q_ask_unemployment_trend": with_ctes(
+            f"""select country, year, {R('value', 2)} as unemployment_pct from vw_economic_overview
+where country = {_lit(p.trend_country)} and indicator_name = {_lit(p.unemployment)} and is_projection = 'N'
+  and year > {_latest_year(p.unemployment, True)} - 10""",
+            eco,
+        ),
     }
     return q

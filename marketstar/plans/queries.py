@@ -60,6 +60,12 @@ class Params:
     country: str = "NATION_2"
     sample_country: str = "NATION_1"
     trailing_years: int = 5
+    sector: str = "ASIA"
+    ticker_pair: tuple = ("S1", "S2")
+    country_trio: tuple = ("NATION_4", "NATION_8", "NATION_12")
+    forecast_country: str = "NATION_6"
+    forecast_year: int = 2021
+    trend_country: str = "NATION_9"
 
     @classmethod
     def latest(cls, star: Star, **overrides) -> "Params":
@@ -607,6 +613,138 @@ def l36_view_inventory(star: Star, p: Params = DEFAULT) -> DataFrame:
     return inventory(star, "view_script", "row_count")
 
 
+# ---------------------------------------------------------------- sample questions
+# The reference's sample questions (answered by its assistant as SQL over
+# the views), written once as parameterised queries.
+
+
+def ask_highest_volume_days(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
+    """Highest-volume trading days of one stock."""
+    return (
+        V.stock_performance(star)
+        .where(F.col("ticker") == p.ticker)
+        .orderBy(F.desc_nulls_last("volume"), F.desc("trade_date"))
+        .limit(k)
+        .select("ticker", "trade_date", "volume", R("close_price", 2).alias("close"), R("daily_return_pct", 2).alias("return_pct"))
+    )
+
+
+def ask_top_beta(star: Star, p: Params = DEFAULT, k: int = 5) -> DataFrame:
+    """Most volatile stocks by beta."""
+    return (
+        star.dim_companies.orderBy(F.desc_nulls_last("beta"), "ticker")
+        .limit(k)
+        .select("ticker", "company_name", "sector", R("beta", 2).alias("beta"))
+    )
+
+
+def ask_highest_roe(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
+    """Highest return on equity, latest fiscal year."""
+    fund = V.company_fundamentals(star)
+    return (
+        fund.where(F.col("fiscal_year") == _latest_fiscal_year(fund))
+        .orderBy(F.desc_nulls_last("return_on_equity_pct"), "ticker")
+        .limit(k)
+        .select("ticker", "company_name", "sector", "fiscal_year", R("return_on_equity_pct", 2).alias("roe_pct"))
+    )
+
+
+def ask_sector_revenue_growth(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
+    """Highest revenue growth within one sector, latest fiscal year."""
+    fund = V.company_fundamentals(star)
+    return (
+        fund.where((F.col("sector") == p.sector) & (F.col("fiscal_year") == _latest_fiscal_year(fund)))
+        .orderBy(F.desc_nulls_last("revenue_growth_pct"), "ticker")
+        .limit(k)
+        .select("ticker", "company_name", "fiscal_year", R("revenue_growth_pct", 2).alias("revenue_growth_pct"))
+    )
+
+
+def ask_low_pe_in_sector(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
+    """Lowest positive P/E within one sector."""
+    c = star.dim_companies
+    return (
+        c.where((F.col("sector") == p.sector) & (F.col("trailing_pe") > 0))
+        .orderBy("trailing_pe", "ticker")
+        .limit(k)
+        .select("ticker", "company_name", R("trailing_pe", 1).alias("pe"))
+    )
+
+
+def ask_margin_comparison(star: Star, p: Params = DEFAULT) -> DataFrame:
+    """Two companies' profit margins over their last five fiscal years."""
+    fund = V.company_fundamentals(star)
+    last = fund.select(F.max("fiscal_year")).scalar()
+    return (
+        fund.where(F.col("ticker").isin(list(p.ticker_pair)) & (F.col("fiscal_year") > last - 5))
+        .orderBy("ticker", "fiscal_year")
+        .select("ticker", "company_name", "fiscal_year", R("net_margin_pct", 2).alias("net_margin_pct"))
+    )
+
+
+def ask_indicator_forecast(star: Star, p: Params = DEFAULT) -> DataFrame:
+    """One country's GDP growth value (actual or projected) for one year."""
+    return V.economic_overview(star).where(
+        (F.col("country") == p.forecast_country)
+        & (F.col("indicator_name") == p.gdp)
+        & (F.col("year") == p.forecast_year)
+    ).select("country", "year", R("value", 2).alias("gdp_growth_pct"), "is_projection")
+
+
+def ask_inflation_comparison(star: Star, p: Params = DEFAULT) -> DataFrame:
+    """Inflation of three countries over all years."""
+    return (
+        V.economic_overview(star)
+        .where((F.col("indicator_name") == p.inflation) & F.col("country").isin(list(p.country_trio)))
+        .orderBy("country", "year")
+        .select("country", "year", R("value", 2).alias("inflation_pct"), "is_projection")
+    )
+
+
+def ask_highest_debt(star: Star, p: Params = DEFAULT) -> DataFrame:
+    """The country with the highest government debt, latest actual year."""
+    eco = V.economic_overview(star)
+    return (
+        eco.where(
+            (F.col("indicator_name") == p.govt_debt)
+            & (F.col("year") == _latest_year(eco, p.govt_debt, actuals_only=True))
+        )
+        .orderBy(F.desc_nulls_last("value"), "country")
+        .limit(1)
+        .select("country", "year", R("value", 1).alias("govt_debt_pct_gdp"))
+    )
+
+
+def ask_unemployment_trend(star: Star, p: Params = DEFAULT, years: int = 10) -> DataFrame:
+    """One country's unemployment over the last ``years`` actual years."""
+    eco = V.economic_overview(star)
+    last = _latest_year(eco, p.unemployment, actuals_only=True)
+    return (
+        eco.where(
+            (F.col("country") == p.trend_country)
+            & (F.col("indicator_name") == p.unemployment)
+            & (F.col("is_projection") == "N")
+            & (F.col("year") > last - years)
+        )
+        .orderBy("year")
+        .select("country", "year", R("value", 2).alias("unemployment_pct"))
+    )
+
+
+QUESTIONS = {
+    "q_ask_highest_volume_days": ask_highest_volume_days,
+    "q_ask_top_beta": ask_top_beta,
+    "q_ask_highest_roe": ask_highest_roe,
+    "q_ask_sector_revenue_growth": ask_sector_revenue_growth,
+    "q_ask_low_pe_in_sector": ask_low_pe_in_sector,
+    "q_ask_margin_comparison": ask_margin_comparison,
+    "q_ask_indicator_forecast": ask_indicator_forecast,
+    "q_ask_inflation_comparison": ask_inflation_comparison,
+    "q_ask_highest_debt": ask_highest_debt,
+    "q_ask_unemployment_trend": ask_unemployment_trend,
+}
+
+
 QUERIES = {
     "q_l01_top_market_cap": l01_top_market_cap,
     "q_l02_sector_distribution": l02_sector_distribution,
@@ -645,4 +783,5 @@ QUERIES = {
     "v_country_records": l34_records_by_country,
     "v_series_sample": l35_series_sample,
     "v_inventory": l36_view_inventory,
+    **QUESTIONS,
 }
