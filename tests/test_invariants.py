@@ -61,3 +61,16 @@ def test_expected_driver_counts(star):
     assert star.fact_sp500_benchmark.count() == 2289
     assert star.fact_financials.count() == 70
     assert star.fact_economic_indicators.count() == 542
+
+
+def test_filter_hits_match_fixture_counts(spark):
+    """Hit counts stated in FIXTURES.md §3 for sf0.01 (filings / companies)."""
+    import __spark_entry__ as E
+
+    got = {r.filter_name: (r.matched_rows, r.matched_keys)
+           for r in E.queries()["m_filters"](spark, "/root/testdata/sf0.01").collect()}
+    filings = {"profitable": 184, "high growth": 101, "high ROE": 168, "highly leveraged": 420}
+    companies = {"large cap": 44, "mid cap": 38, "small cap": 18, "dividend payer": 58,
+                 "high yield": 21, "low beta": 34, "high beta": 47, "undervalued": 49}
+    assert {k: got[k][0] for k in filings} == filings
+    assert {k: got[k][1] for k in companies} == companies
