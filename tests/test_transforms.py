@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-import pytest
-from pyspark.sql import functions as F
 
 from marketstar import schemas
 from marketstar.plans import queries as Q
