@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import semantic as S
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from ..sources import files, landed
 from ..sources.tables import TableSource
 from . import catalog, star as K, views as V
@@ -25,7 +25,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def _star(spark: SparkSession, sf_dir: str) -> K.Star:
     """The star published once per application and source folder (see
     :func:`catalog.published_star`); tables are written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     return catalog.published_star(
         spark, key, lambda: K.star_from_driver(spark, sf_dir), scratch_path(spark, "published_star")
     )

@@ -368,10 +368,10 @@ def staged_bars(spark: SparkSession, src: TableSource) -> DataFrame:
     and the staged files live in the shared folder (``spark.checkpoint.dir``).
     The driver tables are read-only, so a staged copy stays valid.
     """
-    from ..session import scratch_path  # local import: session is optional for pure plans
+    from ..session import app_id, scratch_path  # local import: session is optional for pure plans
     from .catalog import stage
 
-    key = (spark.sparkContext.applicationId, src.root)
+    key = (app_id(spark), src.root)
     with _STAGE_LOCK:  # concurrent table builds wait for one staging job
         if key not in _STAGED_BARS:
             flat = stage(landed.flatten_bars(landed.daily_bars(src)), scratch_path(spark, "daily_bars"))

@@ -49,14 +49,13 @@ def build_session(
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id, read from the session conf (works without a SparkContext handle)."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
 def _checkpoint_base(spark: SparkSession) -> str | None:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        except Exception:  # pragma: no cover - conf access differs by deployment
-            base = None
-    return base or None
+    return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -68,7 +67,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = _checkpoint_base(spark)
     if base:
         return base.rstrip("/")
-    master = spark.sparkContext.master
+    master = spark.conf.get("spark.master", "local")
     if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="marketstar-ckpt-")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import app_id
+
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -30,7 +32,7 @@ class TableSource:
         # One scan node per (application, folder, table): file listing and the
         # footer/schema read happen once, not once per query.  The driver
         # tables are read-only, so the shared scan stays valid.
-        key = (self.spark.sparkContext.applicationId, self.root, name)
+        key = (app_id(self.spark), self.root, name)
         if key not in _SCANS:
             _SCANS[key] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return _SCANS[key]
