@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import R, in_calendar_year
+from ..operators.joins import MAX_BROADCAST_ROWS, dimension_join
 from ..operators.quality import distinct_count_with_null, row_inventory
 from . import views as V
 from .star import Star
@@ -100,8 +101,22 @@ def _trade_year(df: DataFrame, year: int) -> DataFrame:
     return df.where((F.col("trade_year") == year) & in_calendar_year("trade_date", year))
 
 
-def _latest_fiscal_year(fund: DataFrame) -> Column:
-    return fund.select(F.max("fiscal_year")).scalar()
+def _latest_fiscal_year(star: Star) -> Column:
+    """``(SELECT MAX(fiscal_year) FROM vw_company_fundamentals)`` without the view.
+
+    A filing appears in the view (companies LEFT JOIN filings) exactly when
+    its ticker has a company row, so the maximum over the fact semi-joined
+    on company keys is the same value; the companies without filings only
+    add NULLs, which ``MAX`` ignores.  The semi join reads two key columns.
+    """
+    filed = dimension_join(
+        star.fact_financials.select("ticker", "fiscal_year"),
+        star.dim_companies.select("ticker"),
+        "ticker",
+        "left_semi",
+        max_broadcast_rows=MAX_BROADCAST_ROWS,
+    )
+    return filed.select(F.max("fiscal_year")).scalar()
 
 
 def _latest_year(ind: DataFrame, indicator: str, actuals_only: bool) -> Column:
@@ -207,7 +222,7 @@ def l07_gdp_pair(star: Star, p: Params = DEFAULT) -> DataFrame:
 def l08_top_revenue_latest(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
     fund = V.company_fundamentals(star)
     return (
-        fund.where(F.col("fiscal_year") == _latest_fiscal_year(fund))
+        fund.where(F.col("fiscal_year") == _latest_fiscal_year(star))
         .orderBy(F.desc_nulls_last("revenue"), "ticker")
         .limit(k)
         .select(
@@ -316,7 +331,7 @@ def l14_valuation_spread(star: Star, p: Params = DEFAULT) -> DataFrame:
 def l15_high_yield_latest(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
     fund = V.company_fundamentals(star)
     return (
-        fund.where((F.col("dividend_yield") > 0) & (F.col("fiscal_year") == _latest_fiscal_year(fund)))
+        fund.where((F.col("dividend_yield") > 0) & (F.col("fiscal_year") == _latest_fiscal_year(star)))
         .orderBy(F.desc_nulls_last("dividend_yield"), "ticker")
         .limit(k)
         .select(
@@ -334,7 +349,7 @@ def l16_low_pe_latest(star: Star, p: Params = DEFAULT) -> DataFrame:
     fund = V.company_fundamentals(star)
     pe = F.col("trailing_pe")
     return (
-        fund.where((pe > 0) & (pe < 15) & (F.col("fiscal_year") == _latest_fiscal_year(fund)))
+        fund.where((pe > 0) & (pe < 15) & (F.col("fiscal_year") == _latest_fiscal_year(star)))
         .orderBy("trailing_pe", "ticker")
         .select(
             "ticker",
@@ -381,7 +396,7 @@ def l18_govt_debt_group(star: Star, p: Params = DEFAULT) -> DataFrame:
 def l19_top_revenue(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
     fund = V.company_fundamentals(star)
     return (
-        fund.where(F.col("fiscal_year") == _latest_fiscal_year(fund))
+        fund.where(F.col("fiscal_year") == _latest_fiscal_year(star))
         .orderBy(F.desc_nulls_last("revenue"), "ticker")
         .limit(k)
         .select("ticker", "company_name", "sector", "fiscal_year", "revenue", "net_income", "net_margin_pct")
@@ -402,7 +417,7 @@ def l20_company_revenue_trend(star: Star, p: Params = DEFAULT) -> DataFrame:
 def l21_sector_margin_latest(star: Star, p: Params = DEFAULT) -> DataFrame:
     fund = V.company_fundamentals(star)
     return (
-        fund.where(F.col("fiscal_year") == _latest_fiscal_year(fund))
+        fund.where(F.col("fiscal_year") == _latest_fiscal_year(star))
         .groupBy("sector")
         .agg(
             R(F.avg("net_margin_pct"), 2).alias("avg_net_margin_pct"),
@@ -497,7 +512,7 @@ def l25_inflation_max_year(star: Star, p: Params = DEFAULT) -> DataFrame:
 def l26_highly_leveraged(star: Star, p: Params = DEFAULT) -> DataFrame:
     fund = V.company_fundamentals(star)
     return (
-        fund.where((F.col("fiscal_year") == _latest_fiscal_year(fund)) & (F.col("debt_to_asset_ratio") > 0.7))
+        fund.where((F.col("fiscal_year") == _latest_fiscal_year(star)) & (F.col("debt_to_asset_ratio") > 0.7))
         .orderBy(F.desc_nulls_last("debt_to_asset_ratio"), "ticker")
         .select(
             "ticker",
@@ -528,7 +543,7 @@ def l27_stock_vs_index_prior_year(star: Star, p: Params = DEFAULT) -> DataFrame:
 def l28_highest_dividend(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
     fund = V.company_fundamentals(star)
     return (
-        fund.where((F.col("dividend_yield") > 0) & (F.col("fiscal_year") == _latest_fiscal_year(fund)))
+        fund.where((F.col("dividend_yield") > 0) & (F.col("fiscal_year") == _latest_fiscal_year(star)))
         .orderBy(F.desc_nulls_last("dividend_yield"), "ticker")
         .limit(k)
         .select(
@@ -642,7 +657,7 @@ def ask_highest_roe(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
     """Highest return on equity, latest fiscal year."""
     fund = V.company_fundamentals(star)
     return (
-        fund.where(F.col("fiscal_year") == _latest_fiscal_year(fund))
+        fund.where(F.col("fiscal_year") == _latest_fiscal_year(star))
         .orderBy(F.desc_nulls_last("return_on_equity_pct"), "ticker")
         .limit(k)
         .select("ticker", "company_name", "sector", "fiscal_year", R("return_on_equity_pct", 2).alias("roe_pct"))
@@ -653,7 +668,7 @@ def ask_sector_revenue_growth(star: Star, p: Params = DEFAULT, k: int = 10) -> D
     """Highest revenue growth within one sector, latest fiscal year."""
     fund = V.company_fundamentals(star)
     return (
-        fund.where((F.col("sector") == p.sector) & (F.col("fiscal_year") == _latest_fiscal_year(fund)))
+        fund.where((F.col("sector") == p.sector) & (F.col("fiscal_year") == _latest_fiscal_year(star)))
         .orderBy(F.desc_nulls_last("revenue_growth_pct"), "ticker")
         .limit(k)
         .select("ticker", "company_name", "fiscal_year", R("revenue_growth_pct", 2).alias("revenue_growth_pct"))
@@ -674,7 +689,7 @@ def ask_low_pe_in_sector(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFr
 def ask_margin_comparison(star: Star, p: Params = DEFAULT) -> DataFrame:
     """Two companies' profit margins over their last five fiscal years."""
     fund = V.company_fundamentals(star)
-    last = fund.select(F.max("fiscal_year")).scalar()
+    last = _latest_fiscal_year(star)
     return (
         fund.where(F.col("ticker").isin(list(p.ticker_pair)) & (F.col("fiscal_year") > last - 5))
         .orderBy("ticker", "fiscal_year")
