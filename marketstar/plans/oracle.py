@@ -673,6 +673,16 @@ where indicator_name = {_lit(p.govt_debt)} and year = {_latest_year(p.govt_debt,
 order by value desc nulls last, country limit 1""",
             eco,
         ),
+        "q_ask_high_yield": with_ctes(
+            f"""select ticker, company_name, sector, {R('dividend_yield', 2)} as div_yield_pct
+from dim_companies where dividend_yield > 3""",
+            ["dim_companies"],
+        ),
+        "q_ask_best_sector_returns": with_ctes(
+            f"""select sector, {R('avg(daily_return_pct)', 4)} as avg_daily_return_pct, count(distinct ticker) as stocks
+from vw_stock_performance where trade_year = {y} group by sector""",
+            perf,
+        ),
         "q_ask_unemployment_trend": with_ctes(
             f"""select country, year, {R('value', 2)} as unemployment_pct from vw_economic_overview
 where country = {_lit(p.trend_country)} and indicator_name = {_lit(p.unemployment)} and is_projection = 'N'

@@ -746,6 +746,30 @@ def ask_unemployment_trend(star: Star, p: Params = DEFAULT, years: int = 10) ->
     )
 
 
+def ask_high_yield(star: Star, p: Params = DEFAULT) -> DataFrame:
+    """Companies with a dividend yield above 3% (the named "high yield" filter)."""
+    from ..functions.semantic import run_metric
+
+    return (
+        run_metric(star.dim_companies, filters=["high yield"])
+        .orderBy(F.desc_nulls_last("dividend_yield"), "ticker")
+        .select("ticker", "company_name", "sector", R("dividend_yield", 2).alias("div_yield_pct"))
+    )
+
+
+def ask_best_sector_returns(star: Star, p: Params = DEFAULT) -> DataFrame:
+    """Average daily return per sector in the as-of year, best first."""
+    return (
+        _trade_year(V.stock_performance(star), p.this_year)
+        .groupBy("sector")
+        .agg(
+            R(F.avg("daily_return_pct"), 4).alias("avg_daily_return_pct"),
+            F.count_distinct("ticker").alias("stocks"),
+        )
+        .orderBy(F.desc_nulls_last("avg_daily_return_pct"), "sector")
+    )
+
+
 QUESTIONS = {
     "q_ask_highest_volume_days": ask_highest_volume_days,
     "q_ask_top_beta": ask_top_beta,
@@ -757,6 +781,8 @@ QUESTIONS = {
     "q_ask_inflation_comparison": ask_inflation_comparison,
     "q_ask_highest_debt": ask_highest_debt,
     "q_ask_unemployment_trend": ask_unemployment_trend,
+    "q_ask_high_yield": ask_high_yield,
+    "q_ask_best_sector_returns": ask_best_sector_returns,
 }
 
 
