@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from marketstar.llm.common import staged
 from marketstar.llm.text import chunks
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 1_000_000  # about 200 MB a worker
 GROUPS = 256
 _RUN_SHIFT = np.int64(44)
 
@@ -73,7 +73,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]  # bytes split at space, \t, \n, \v, \f and \r alone
-        distinct = {w for ws in split for w in ws}
+        distinct = set().union(*split)
         new = [w for w in distinct if w not in self.cache]
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache, new = {}, list(distinct)
