@@ -55,3 +55,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package also where it is not installed but beside the driver's program."""
+    import os
+
+    import marketstar
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(marketstar.__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    return spark
