@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketstar.llm import mixing, packing, search, sharding, urls
-from marketstar.llm.common import read_table
+from marketstar.llm import fingerprints, mixing, neardup, packing, quality, search, sharding, substrings, toxicity, urls
+from marketstar.llm.common import importable, read_table
 
 #: The filter's explicit rules, (action, host/path).
 URL_RULES = (
@@ -37,27 +37,46 @@ def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs, weights=(5, 2, 1), cap=3, carry=["doc_id"])
 
 
+def op3_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op4_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), parts=3, held=1, cut=0.7)
+
+
 def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10, scale=1024.0)
 
 
+def op8_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.duplicate_classes(read_table(spark, sf_dir, "documents"), threshold=0.8).select("doc_id", "class_id", "class_size")
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), word_tokenizer(), SEQUENCE)
 
 
+def op10_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rank_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), parts=5, held=0, cut=0.3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_url_filter": op1_url_filter,
-        "op2_entropy_mix": op2_entropy_mix,
-        "op5_karmarkar_karp": op5_karmarkar_karp,
-        "op7_maxscore": op7_maxscore,
-        "op9_pack": op9_pack,
-    }
+    ops = (
+        op1_url_filter, op2_entropy_mix, op3_one_permutation, op4_super_kmers, op5_karmarkar_karp,
+        op6_toxicity, op7_maxscore, op8_prob_minhash, op9_pack, op10_bradley_terry,
+    )
+    return {f.__name__: (lambda spark, sf_dir, f=f: f(importable(spark), sf_dir)) for f in ops}
 
 
 #: Exact search as a join of the stated queries with all rows; the sum is of whole numbers.
