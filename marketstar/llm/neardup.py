@@ -14,9 +14,12 @@ Classes are the connected components of these links:
 1. Equal texts are one node.  In each band's bucket all nodes pair with its
    least one only, and each node is verified against the leader with which it
    shares most bands: at most one pair a node, also in huge buckets.
-2. Buckets whose nodes still lie in several components are compared in blocks
-   inside tasks by registers; pairs of different components that may be
-   similar enough are verified.  So no link between two components is lost.
+2. Buckets whose nodes still lie in several components are compared in full,
+   so no link between two components is lost.  Small buckets yield the pairs
+   whose registers may be similar enough, which are then verified.  Large ones
+   are cut into blocks; a task takes two blocks, computes the similarities of
+   all their texts as matrix products and yields a spanning forest of the
+   links: at most one pair a node, whatever the size of the group.
 
 Defined cases: null text is empty; texts without words form one class; a text
 of one to four words has one shingle, all of its words; a class is named by
@@ -45,6 +48,8 @@ REGISTERS = BANDS * ROWS
 #: Of the registers, in step 2: at a similarity of 0.8 fewer agree once in 10^9 (six standard deviations).
 MAYBE = 0.55
 _BLOCK = 512
+_SMALL = 32
+_COLUMNS = 8192
 
 
 def weighted_shingles(c) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,6 +180,75 @@ def _compare(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": out_a, "b": out_b})
 
 
+def _similar(texts: pd.Series, threshold: float) -> np.ndarray:
+    """Whether each two of the texts are similar enough, as an (n, n) matrix; exact up to 64-bit shingle hashes."""
+    n = len(texts)
+    docs, hashes, weights, done = [], [], [], 0
+    for c in chunks(pa.array(texts, pa.string())):
+        d, h, w = weighted_shingles(c)
+        docs.append(d + done)
+        hashes.append(h)
+        weights.append(w)
+        done += c.n
+    doc, weight = np.concatenate(docs), np.concatenate(weights)
+    _, column, often = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    column = column.reshape(-1)
+    size, mass = np.bincount(doc, minlength=n).astype(float), np.bincount(doc, weight, minlength=n)
+    shared = often[column] > 1
+    order = np.flatnonzero(shared)[np.argsort(column[shared], kind="stable")]
+    rank = np.cumsum(np.append(0, np.diff(column[order]) != 0)) if len(order) else order
+    common, affinity = np.zeros((n, n)), np.zeros((n, n))
+    unit = np.bincount(doc, weight != 1.0, minlength=n) == 0
+    for at in range(0, int(rank[-1]) + 1 if len(rank) else 0, _COLUMNS):
+        part = order[np.searchsorted(rank, at) : np.searchsorted(rank, at + _COLUMNS)]
+        place = rank[np.searchsorted(rank, at) : np.searchsorted(rank, at + _COLUMNS)] - at
+        x = np.zeros((n, _COLUMNS), np.float32)
+        x[doc[part], place] = 1
+        common += x @ x.T
+        if not unit.all():
+            x[doc[part], place] = np.sqrt(weight[part] / mass[doc[part]])
+            affinity += x @ x.T
+    union = size[:, None] + size[None, :] - common
+    near = (common / np.maximum(union, 1) >= threshold - 1e-9) & unit[:, None] & unit[None, :]
+    # unequal weights: no similarity exceeds the affinity of the normalised weights; the others are computed
+    weighed = ~(unit[:, None] & unit[None, :]) & (affinity >= threshold - 1e-4)
+    if weighed.any():
+        begin = np.append(0, np.cumsum(size)).astype(int)
+        by_doc = np.argsort(doc, kind="stable")
+        sets = {}
+        for i in np.flatnonzero(weighed.any(axis=1)):
+            mine = by_doc[begin[i] : begin[i + 1]]
+            sets[i] = dict(zip(column[mine].tolist(), weight[mine].tolist(), strict=True))
+        for i, j in zip(*np.nonzero(np.triu(weighed, 1)), strict=True):
+            near[i, j] = near[j, i] = probability_jaccard(sets[i], sets[j]) >= threshold - 1e-9
+    return near
+
+
+def _connect(threshold: float):
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        """A spanning forest of the links between (and within) two blocks of a bucket."""
+        near = _similar(block["text"], threshold)
+        node = block["node"].to_numpy()
+        free = np.ones(len(block), bool)
+        out_a, out_b = [], []
+        for start in range(len(block)):
+            if not free[start]:
+                continue
+            free[start] = False
+            todo = [start]
+            while todo:
+                i = todo.pop()
+                reached = np.flatnonzero(near[i] & free)
+                free[reached] = False
+                todo += reached.tolist()
+                for j in reached:
+                    out_a.append(max(node[i], node[j]))
+                    out_b.append(min(node[i], node[j]))
+        return pd.DataFrame({"a": out_a, "b": out_b})
+
+    return run
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the least node of its connected component.
 
@@ -235,17 +309,22 @@ def duplicate_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     # 2. what lies in one bucket but in different components
     placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / _BLOCK)).cast("int")
-    dealt = (
-        placed.join(mixed.select("bucket", blocks.alias("blocks")), "bucket")
+    mixed = staged(placed.join(mixed.select("bucket", "n"), "bucket"), "near_mixed")
+    deal = ["bucket", "node", "root", "side", "i", "j"]
+    few = mixed.where(F.col("n") <= _SMALL).withColumns({"side": F.lit(0), "i": F.lit(0), "j": F.lit(0)}).select(*deal).join(registers, "node")
+    pairs = few.groupBy("bucket").applyInPandas(_compare, "a binary, b binary").distinct()
+    tried = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    more = verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, threshold)
+    many = (
+        mixed.where(F.col("n") > _SMALL)
+        .withColumn("blocks", F.ceil(F.col("n") / _BLOCK).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", "node", "root", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).cast("int").alias("side"))
-        .join(registers, "node")
+        .select("bucket", "node", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+        .join(texts, "node")
     )
-    pairs = dealt.groupBy("bucket", "i", "j").applyInPandas(_compare, "a binary, b binary").distinct()
-    tried = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = staged(verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, threshold), "near_more")
+    spanning = many.groupBy("bucket", "i", "j").applyInPandas(_connect(threshold), "a binary, b binary")
+    more = staged(more.union(spanning).distinct(), "near_more")
     if more.limit(1).count():
         roots = components(links.union(more))
 
