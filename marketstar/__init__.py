@@ -6,7 +6,6 @@ Layers:
 * ``functions`` — column expressions and the named metric registry
 * ``operators`` — reshape, quality and join building blocks
 * ``plans``     — star-schema transforms, views, queries, sinks
-* ``streaming`` — (nothing: the workload is batch, see module doc)
 """
 
 from .plans.star import Star, build_star, star_from_driver  # noqa: F401

@@ -14,7 +14,7 @@ def main(argv=None) -> None:
     ap.add_argument("--sf-dir", required=True, help="folder with the driver parquet tables")
     ap.add_argument("--schema", default="market", help="catalog schema to publish into")
     ap.add_argument("--location", default=None, help="shared folder for the tables (default: under spark.checkpoint.dir)")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", default=None, help="only to override the master of spark-submit")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     location = args.location or scratch_path(spark, f"{args.schema}_tables")

@@ -22,9 +22,12 @@ def R(x: ColumnOrName, n: int) -> Column:
     """Round half-up on the decimal text of ``x``; result stays ``double``.
 
     ``round`` on a double differs between engines at ties (1.005, 0.125);
-    going through ``decimal(28,8)`` makes Spark and the SQL oracle agree.
+    going through a decimal of 8 places makes Spark and the SQL oracle agree.
+    A value beyond ``decimal(38,8)`` has no such places: it is rounded as the
+    double it is, without an error.
     """
-    return F.round(_c(x).cast("decimal(28,8)"), n).cast("double")
+    x = _c(x)
+    return F.coalesce(F.round(x.try_cast("decimal(38,8)"), n).cast("double"), F.round(x.cast("double"), n))
 
 
 def nullif0(x: ColumnOrName) -> Column:

@@ -158,8 +158,10 @@ def check(view: DataFrame, metrics: Iterable[Metric]) -> None:
 
 
 def with_prev_year_revenue(view: DataFrame) -> DataFrame:
-    """``prev_year_revenue``: the ticker's revenue of the previous fiscal year row."""
-    w = Window.partitionBy("ticker").orderBy("fiscal_year")
+    """``prev_year_revenue``: the ticker's revenue of the previous period (of the previous fiscal year row in a view
+    without ``period_end``; two periods of one year are then ordered by their revenue)."""
+    order = ["period_end"] if "period_end" in view.columns else ["fiscal_year", "revenue"]
+    w = Window.partitionBy("ticker").orderBy(*order)
     return view.withColumn("prev_year_revenue", F.lag("revenue").over(w))
 
 
@@ -193,21 +195,34 @@ def run_metric(
     filters: Sequence[str] = (),
     expressions: Sequence[str] = (),
 ) -> DataFrame:
-    """``view.where(all filters).withColumns(exprs).groupBy(dims).agg(measures)``.
+    """``view.withColumns(exprs).where(all filters).groupBy(dims).agg(measures)``.
 
-    With no measures the filtered, extended rows come back unaggregated.
+    Expressions come first: one that looks at a neighbouring row (the previous
+    period) must see the rows that the filters drop.  Every name may be a
+    business term (``resolve``); a measure named by a plain column is its
+    average.  With no measures the filtered, extended rows come back
+    unaggregated.
     """
+    dims = [resolve(d) for d in dims]
+    filters = [resolve(n) for n in filters]
     fs = [get(n, "filter") for n in filters]
     check(view, fs)
+    out = apply_expressions(view, [resolve(n) for n in expressions]) if expressions else view
     cond = filter_condition(filters)
-    out = view.where(cond) if cond is not None else view
-    if expressions:
-        out = apply_expressions(out, expressions)
+    out = out.where(cond) if cond is not None else out
     if not measures:
         return out
-    ms = [get(n, "measure") for n in measures]
-    check(out, ms)
-    return out.groupBy(*dims).agg(*[m.column().alias(m.name) for m in ms])
+    aggregates = []
+    for name in map(resolve, measures):
+        if name in REGISTRY:
+            m = get(name, "measure")
+            check(out, [m])
+            aggregates.append(m.column().alias(m.name))
+        elif name in out.columns:
+            aggregates.append(F.avg(name).alias(f"avg_{name}"))
+        else:
+            raise ValueError(f"unknown measure {name!r}")
+    return out.groupBy(*dims).agg(*aggregates)
 
 
 def filter_counts(view: DataFrame, names: Sequence[str], key: str = "ticker") -> DataFrame:
@@ -230,11 +245,8 @@ def filter_counts(view: DataFrame, names: Sequence[str], key: str = "ticker") ->
     from ..sources.universe import literal_rows
 
     all_names = literal_rows(view.sparkSession, [(n,) for n in names], ["filter_name"])
-    # ``matched`` has at most one row per filter name: a bounded broadcast.
-    from ..operators.joins import bounded_broadcast
-
     return (
-        all_names.join(bounded_broadcast(matched), "filter_name", "left")
+        all_names.join(matched, "filter_name", "left")
         .select(
             "filter_name",
             F.coalesce("matched_rows", F.lit(0)).cast("bigint").alias("matched_rows"),

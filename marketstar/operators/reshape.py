@@ -38,6 +38,8 @@ def pivot_periods(
     item_col: str,
     value_col: str,
     items: dict[str, str],
+    group_col: str | None = None,
+    groups: dict[str, str] | None = None,
     anchor: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Long ``(keys, item, value)`` rows → one row per key with one column per item.
@@ -47,13 +49,17 @@ def pivot_periods(
     so there is no extra job to discover pivot values and all columns come
     out of one partial + final hash aggregation on ``keys``.
 
+    With ``group_col`` a label counts only in the group that ``groups`` names
+    for it (a line item in its own statement).
+
     ``anchor=(column, value)`` keeps only keys that have at least one row
     with ``column == value`` (align every statement on the income periods).
     """
-    aggs = [
-        F.max(F.when(F.col(item_col) == F.lit(label), F.col(value_col))).alias(out)
-        for label, out in items.items()
-    ]
+    def hit(label: str):
+        same = F.col(item_col) == F.lit(label)
+        return same if group_col is None else same & (F.col(group_col) == F.lit(groups[label]))
+
+    aggs = [F.max(F.when(hit(label), F.col(value_col))).alias(out) for label, out in items.items()]
     if anchor is not None:
         col, val = anchor
         aggs.append(F.max((F.col(col) == F.lit(val)).cast("int")).alias("__anchored"))

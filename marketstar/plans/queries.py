@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import R, in_calendar_year
-from ..operators.joins import MAX_BROADCAST_ROWS, dimension_join
 from ..operators.quality import distinct_count_with_null, row_inventory
 from . import views as V
 from .star import Star
@@ -109,13 +108,7 @@ def _latest_fiscal_year(star: Star) -> Column:
     on company keys is the same value; the companies without filings only
     add NULLs, which ``MAX`` ignores.  The semi join reads two key columns.
     """
-    filed = dimension_join(
-        star.fact_financials.select("ticker", "fiscal_year"),
-        star.dim_companies.select("ticker"),
-        "ticker",
-        "left_semi",
-        max_broadcast_rows=MAX_BROADCAST_ROWS,
-    )
+    filed = star.fact_financials.select("ticker", "fiscal_year").join(star.dim_companies.select("ticker"), "ticker", "left_semi")
     return filed.select(F.max("fiscal_year")).scalar()
 
 

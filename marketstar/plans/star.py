@@ -120,12 +120,11 @@ def benchmark(raw_index: DataFrame, pad: bool = False) -> DataFrame:
     """``fact_sp500_benchmark``: index bars plus daily return.
 
     The window has no partition key, so Spark gathers it into one task.
-    That is safe only because the input is already one row per day (bounded
-    by the calendar, a few thousand rows), never raw trades.
+    Rows are first reduced to one per day (the one with the largest volume),
+    so that task's input is bounded by the calendar whatever is passed in.
     """
-    out = with_period_change(
-        raw_index, "close_price", "daily_return_pct", [], ["trade_date"], pad=pad, fill_first=0.0
-    )
+    daily = raw_index.groupBy("trade_date").agg(F.max(F.struct("volume", *[c for c in _BAR_COLS if c not in ("volume", "trade_date")])).alias("bar")).select("trade_date", "bar.*")
+    out = with_period_change(daily, "close_price", "daily_return_pct", [], ["trade_date"], pad=pad, fill_first=0.0)
     return out.select(*_BAR_COLS, "daily_return_pct")
 
 
@@ -161,7 +160,14 @@ def statement_periods(raw_statements: DataFrame) -> DataFrame:
     """
     clean = raw_statements.withColumn("value", nan_to_null("value"))
     wide = pivot_periods(
-        clean, ["ticker", "period_end"], "line_item", "value", STATEMENT_ITEMS, anchor=("statement", "income")
+        clean,
+        ["ticker", "period_end"],
+        "line_item",
+        "value",
+        STATEMENT_ITEMS,
+        group_col="statement",
+        groups=landed.STATEMENT_OF_ITEM,
+        anchor=("statement", "income"),
     )
     return wide.select(
         "ticker",

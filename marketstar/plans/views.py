@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast, dimension_join
 from .star import Star
 
 FUNDAMENTALS_COMPANY_COLS = [
@@ -87,7 +86,7 @@ def company_fundamentals(star: Star) -> DataFrame:
     """``vw_company_fundamentals``: every company, with each fiscal year it filed (left join)."""
     c = star.dim_companies.select(*FUNDAMENTALS_COMPANY_COLS)
     f = star.fact_financials.select("ticker", *FUNDAMENTALS_FACT_COLS)
-    return dimension_join(c, f, "ticker", "left").select(*FUNDAMENTALS_COMPANY_COLS, *FUNDAMENTALS_FACT_COLS)
+    return c.join(f, "ticker", "left").select(*FUNDAMENTALS_COMPANY_COLS, *FUNDAMENTALS_FACT_COLS)
 
 
 def stock_performance(star: Star) -> DataFrame:
@@ -95,7 +94,7 @@ def stock_performance(star: Star) -> DataFrame:
     c = star.dim_companies.select("ticker", "company_name", "sector", "industry", "market_cap")
     p = star.fact_stock_prices
     stored = "trade_year" in p.columns
-    return dimension_join(p, c, "ticker", max_broadcast_rows=MAX_BROADCAST_ROWS).select(
+    return p.join(c, "ticker").select(
         "ticker",
         "company_name",
         "sector",
@@ -118,15 +117,13 @@ def stock_vs_benchmark(star: Star) -> DataFrame:
     stored = "trade_year" in star.fact_stock_prices.columns
     keep = ["ticker", "trade_date", "close_price", "daily_return_pct"] + (["trade_year"] if stored else [])
     p = star.fact_stock_prices.select(*keep)
-    b = bounded_broadcast(
-        star.fact_sp500_benchmark.select(
-            "trade_date",
-            F.col("close_price").alias("sp500_close"),
-            F.col("daily_return_pct").alias("sp500_daily_return_pct"),
-        )
+    b = star.fact_sp500_benchmark.select(
+        "trade_date",
+        F.col("close_price").alias("sp500_close"),
+        F.col("daily_return_pct").alias("sp500_daily_return_pct"),
     )
     return (
-        dimension_join(p, c, "ticker", max_broadcast_rows=MAX_BROADCAST_ROWS)
+        p.join(c, "ticker")
         .join(b, "trade_date")
         .select(
             "ticker",

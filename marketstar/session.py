@@ -19,22 +19,27 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app: str = "marketstar",
     driver_memory: str | None = None,
     conf: dict | None = None,
 ) -> SparkSession:
-    """A session for tests and local benchmarks.
+    """A session with the library's defaults.
 
-    On a cluster the platform supplies the session; the library only reads
-    settings from it.  ``spark.checkpoint.dir`` is set here only when the
-    environment left it unset (a fresh folder under the system temp dir,
-    acceptable for local mode only).
+    Master and shuffle partitions are set only if given, or for a local
+    master; on a cluster the platform's settings stand.  A missing
+    ``spark.checkpoint.dir`` gets a fresh local folder in local mode and is an
+    error on any other master.
     """
-    b = SparkSession.builder.master(master).appName(app)
+    b = SparkSession.builder.appName(app)
     settings = dict(DEFAULT_CONF)
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:
+        b = b.master(master)
+        if _is_local(master):
+            settings["spark.sql.shuffle.partitions"] = "8"
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
         settings["spark.driver.memory"] = driver_memory
     settings.update(conf or {})
@@ -42,13 +47,15 @@ def build_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not _checkpoint_base(spark):
-        local = tempfile.mkdtemp(prefix="marketstar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        spark.sparkContext.setCheckpointDir(local)
+    spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """Local mode proper; ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def app_id(spark: SparkSession) -> str:
     """The application id, read from the session conf (works without a SparkContext handle)."""
     return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
@@ -61,14 +68,13 @@ def _checkpoint_base(spark: SparkSession) -> str | None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Raises when it is unset on a non-local master: a machine-local temp
-    folder is not visible to other executors.
+    Raises when it is unset and the master is not known to be local: a
+    machine-local temp folder is not visible to other executors.
     """
     base = _checkpoint_base(spark)
     if base:
         return base.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    if not _is_local(spark.conf.get("spark.master", "")):
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="marketstar-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)

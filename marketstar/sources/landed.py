@@ -32,7 +32,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
 from .tables import TableSource
 
 # Fixed values of the landed-record rules (field blanking and statement
@@ -68,8 +67,8 @@ def _unless(cond: Column, value: Column) -> Column:
 def raw_profiles(src: TableSource) -> DataFrame:
     """One profile record per supplier (company)."""
     k = F.col("s_suppkey")
-    nation = bounded_broadcast(src.nation)  # 25 rows at every scale factor
-    region = bounded_broadcast(src.region)  # 5 rows at every scale factor
+    nation = src.nation  # 25 rows at every scale factor
+    region = src.region  # 5 rows at every scale factor
     base = src.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
         region, F.col("n_regionkey") == F.col("r_regionkey")
     )
@@ -104,8 +103,8 @@ def raw_universe_nested(src: TableSource) -> DataFrame:
     One record per company (a nested JSON-lines style source), so a record
     never holds more than one listing however large a sector grows.
     """
-    region = bounded_broadcast(src.region)  # 5 rows at every scale factor
-    nation = bounded_broadcast(src.nation)  # 25 rows at every scale factor
+    region = src.region  # 5 rows at every scale factor
+    nation = src.nation  # 25 rows at every scale factor
     base = src.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
         region, F.col("n_regionkey") == F.col("r_regionkey")
     )
@@ -309,7 +308,7 @@ def raw_indicator_panel(src: TableSource) -> DataFrame:
         )
         .groupBy(F.col("c_nationkey").alias("nk"), "code", "y")
         .agg(F.sum("tp").alias("tp"))
-        .join(bounded_broadcast(src.nation.select("n_nationkey", "n_name")), F.col("nk") == F.col("n_nationkey"))
+        .join(src.nation.select("n_nationkey", "n_name"), F.col("nk") == F.col("n_nationkey"))
     )
     v = F.col("tp").cast("double") / F.lit(1e3)
     ky = F.col("nk") + F.col("y")
