@@ -77,10 +77,11 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n: in
     earliest = np.full(n * m, np.inf)
     winner = np.zeros(n * m, U64)
     clock = np.zeros(len(doc))
+    seed = mix64(element)  # neighbouring elements must not share arrivals
     arrival = 0
     while len(doc):
         k = int(np.clip(200_000 // len(doc), 1, 64))  # points of each element at once
-        step = mix64((element[:, None] + U64(0x9E3779B97F4A7C15) * np.arange(arrival + 1, arrival + k + 1, dtype=U64)[None, :]).ravel()).reshape(-1, k)
+        step = mix64((seed[:, None] + U64(0x9E3779B97F4A7C15) * np.arange(arrival + 1, arrival + k + 1, dtype=U64)[None, :]).ravel()).reshape(-1, k)
         gap = -np.log(((step >> U64(12)).astype(float) + 0.5) / float(1 << 52)) / weight[:, None]
         time = clock[:, None] + np.cumsum(gap, axis=1)
         cell = (doc[:, None] * m + (mix64(step) % U64(m)).astype(np.int64)).ravel()
@@ -91,7 +92,7 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n: in
         arrival += k
         clock = time[:, -1]
         go = clock < earliest.reshape(n, m).max(axis=1)[doc]  # early termination
-        doc, element, weight, clock = doc[go], element[go], weight[go], clock[go]
+        doc, element, seed, weight, clock = doc[go], element[go], seed[go], weight[go], clock[go]
     return winner.reshape(n, m)
 
 
@@ -120,7 +121,9 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def probability_jaccard(a: dict, b: dict) -> float:
-    """Exact probability Jaccard similarity of two weighted sets."""
+    """Exact probability Jaccard similarity of two weighted sets; 1 for two empty ones."""
+    if not a and not b:
+        return 1.0
     common = a.keys() & b.keys()
     if not common:
         return 0.0
@@ -210,6 +213,7 @@ def _similar(texts: pd.Series, threshold: float) -> np.ndarray:
             affinity += x @ x.T
     union = size[:, None] + size[None, :] - common
     near = (common / np.maximum(union, 1) >= threshold - 1e-9) & unit[:, None] & unit[None, :]
+    near |= (size == 0)[:, None] & (size == 0)[None, :]
     # unequal weights: no similarity exceeds the affinity of the normalised weights; the others are computed
     weighed = ~(unit[:, None] & unit[None, :]) & (affinity >= threshold - 1e-4)
     if weighed.any():
