@@ -29,6 +29,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,14 @@ from marketstar.llm.text import chunks
 
 CACHE_WORDS = 1_000_000  # about 200 MB a worker
 GROUPS = 256
+_AT_ONCE = 2_000  # new words in one call of the tokenizer
+#: Kinds of bytes in UTF-8: letters of ASCII and Latin-1, digits and marks; odd are all others, and the apostrophe and
+#: the bar, which the vocabulary's patterns and special tokens treat apart.
+_GAP, _LETTER, _DIGIT, _SIGN, _LEAD, _TAIL, _ODD = range(7)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[33:127], _KIND[48:58], _KIND[65:91], _KIND[97:123] = _SIGN, _DIGIT, _LETTER, _LETTER
+_KIND[32], _KIND[0xC3], _KIND[0x80:0xC0] = _GAP, _LEAD, _TAIL
+_KIND[[0x27, 0x7C, 0x97, 0xB7]] = _ODD
 _RUN_SHIFT = np.int64(44)
 
 
@@ -62,6 +71,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer.from_file(path)  # for plain words, which need no more than lower case
+        self.bare.normalizer = None
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.cache: dict[bytes, bytes] = {}
 
     @classmethod
@@ -74,17 +88,45 @@ class WordTokenizer:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]  # bytes split at space, \t, \n, \v, \f and \r alone
         distinct = set().union(*split)
-        new = [w for w in distinct if w not in self.cache]
+        new = distinct.difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache, new = {}, list(distinct)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, got, strict=True):
-                self.cache[w] = np.asarray(e.ids, "<u4").tobytes()
+            self.cache, new = {}, distinct
+        self._learn(new)
         get = self.cache.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
+    def _learn(self, new: set[bytes]) -> None:
+        """Caches the ids of words: plain ones many to a call, cut where their runs end; others one by one."""
+        words = list(new)
+        for at in range(0, len(words), _AT_ONCE):
+            part = words[at : at + _AT_ONCE]
+            runs, plain = plain_runs(part)
+            alike, other = list(compress(part, plain)), list(compress(part, ~plain))
+            text = b" ".join(alike).decode("utf-8", "replace").lower()
+            ids = np.asarray(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            last = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+            if len(last) == runs[plain].sum() + 1:
+                coded, cut = ids.tobytes(), (4 * last[np.append(0, np.cumsum(runs[plain]))]).tolist()
+                self.cache.update(zip(alike, [coded[a:b] for a, b in pairwise(cut)], strict=True))
+            else:
+                other = part
+            got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)
+            self.cache.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(other, got, strict=True))
+
+
+def plain_runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """How many runs (letters, marks, or one digit) each word has, and whether its kinds of bytes are known for sure."""
+    kind = _KIND[np.frombuffer(b" ".join([b"", *words, b""]), np.uint8)]
+    lead, tail = kind == _LEAD, kind == _TAIL
+    kind[1:][tail[1:] & ~lead[:-1]] = _ODD
+    kind[:-1][lead[:-1] & ~tail[1:]] = _ODD
+    odd = kind == _ODD
+    kind[lead | tail] = _LETTER
+    new = np.zeros(len(kind), np.int64)
+    new[1:] = (kind[1:] != _GAP) & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+    first = np.flatnonzero(kind == _GAP)[:-1]
+    return np.add.reduceat(new, first), ~np.logical_or.reduceat(odd, first)
+
 
 def _pieces(path: str, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
