@@ -253,14 +253,14 @@ def _connect(threshold: float):
     return run
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the least node of its connected component.
 
-    Every round takes the least root among neighbours, then jumps to that root's root; a long path halves each round.
+    Every round takes the least root among neighbours, then jumps to that root's root, until nothing changes; a long path halves each round.
     """
     both = staged(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "cc_edges")
     labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "cc_labels")
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         hooked = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("up"))
@@ -268,8 +268,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         changed = new.where("old <> root").limit(1).count()
         labels = new.select("node", "root")
         if not changed:
-            break
-    return labels
+            return labels
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
