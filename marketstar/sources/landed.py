@@ -282,17 +282,17 @@ def statements_from_base(base: DataFrame) -> DataFrame:
     )
 
 
-def panel_years() -> list[str]:
-    """Year columns the landed panel carries (order years shifted into 2015..2021)."""
-    return [str(y) for y in range(2015, 2022)]
+#: Year columns of the driver panel: order years 1995 to 2001, shifted.
+PANEL_YEARS = tuple(range(2015, 2022))
 
 
-def raw_indicator_panel(src: TableSource) -> DataFrame:
+def raw_indicator_panel(src: TableSource, years: tuple[int, ...] = PANEL_YEARS) -> DataFrame:
     """Wide, all-string indicator panel: one row per nation and priority code.
 
     Columns ``ISO, Country, WEO Subject Code, Estimates Start After`` and
     one string column per year; cells carry thousands separators, the
-    sentinels ``n/a`` and ``--``, or nothing.
+    sentinels ``n/a`` and ``--``, or nothing.  An order of a year outside
+    ``years`` fails the query: a panel without its column would lose it.
     """
     orders = src.orders.select(
         "o_custkey",
@@ -318,11 +318,13 @@ def raw_indicator_panel(src: TableSource) -> DataFrame:
         .when(ky % 11 == 0, F.lit("n/a"))
         .otherwise(F.format_number(v, 3))
     )
-    years = panel_years()
+    outside = F.raise_error(F.concat(F.lit("indicator panel has no column for year "), F.col("y").cast("string")))
+    year = F.when(F.col("y").isNull() | F.col("y").isin(*years), F.col("y")).otherwise(outside.cast("int"))
+    columns = [str(y) for y in years]
     wide = (
-        per_nation.select("nk", "n_name", "code", F.col("y").cast("string").alias("y"), cell.alias("cell"))
+        per_nation.select("nk", "n_name", "code", year.cast("string").alias("y"), cell.alias("cell"))
         .groupBy("nk", "n_name", "code")
-        .pivot("y", years)
+        .pivot("y", columns)
         .agg(F.first("cell"))
     )
     est = F.when(~((F.col("nk") % 6 == 0) & (F.col("code") == "5-LOW")), F.lit(ESTIMATES_START))
@@ -331,5 +333,5 @@ def raw_indicator_panel(src: TableSource) -> DataFrame:
         F.col("n_name").alias("Country"),
         F.col("code").alias("WEO Subject Code"),
         est.alias("Estimates Start After"),
-        *[F.col(y) for y in years],
+        *[F.col(y) for y in columns],
     )

@@ -9,6 +9,7 @@ from marketstar import session
 from marketstar.functions import semantic as S
 from marketstar.functions.exprs import R
 from marketstar.plans import star
+from marketstar.sources import landed
 
 
 def test_item_counts_only_in_its_own_statement(spark):
@@ -68,3 +69,14 @@ def test_shared_folder_fails_closed():
         with pytest.raises(RuntimeError):
             session.shared_dir(Session(**values))
     assert session.shared_dir(Session(**{"spark.checkpoint.dir": "/shared/x/"})) == "/shared/x"
+
+
+def test_panel_fails_on_a_year_without_a_column(spark):
+    class Source:
+        orders = spark.createDataFrame([(1, "1-URGENT", dt.date(1995, 5, 1), 1000.0), (1, "1-URGENT", dt.date(2004, 5, 1), 2000.0)], "o_custkey bigint, o_orderpriority string, o_orderdate date, o_totalprice double")
+        customer = spark.createDataFrame([(1, 1)], "c_custkey bigint, c_nationkey int")
+        nation = spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string")
+
+    assert landed.raw_indicator_panel(Source, tuple(range(2015, 2025))).first()["2024"] == "2.000"
+    with pytest.raises(Exception, match="no column for year 2024"):
+        landed.raw_indicator_panel(Source).collect()
