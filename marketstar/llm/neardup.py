@@ -23,8 +23,9 @@ Classes are the connected components of these links:
 
 Defined cases: null text is empty; texts without words form one class; a text
 of one to four words has one shingle, all of its words; a class is named by
-its smallest doc_id (null only if all are null); repeated rows fall into one
-class; an empty table gives an empty result.
+its smallest doc_id (null only if all are null), which classes of null or
+repeated ids may share, and told apart by its root, the least text MD5 in it;
+repeated rows fall into one class; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -279,7 +280,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def duplicate_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Returns doc_id, class_id (smallest doc_id of the class), class_size (rows) and node (the text's MD5) per row."""
+    """Returns doc_id, class_id (smallest doc_id of the class), class_size (rows), node (the text's MD5) and root (the class's least node) per row."""
     text = F.coalesce("text", F.lit(""))
     node = F.unhex(F.md5(text))
     members = staged(docs.select("doc_id", node.alias("node")), "near_members")
@@ -333,15 +334,15 @@ def duplicate_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     rooted = members.join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
     classes = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return rooted.join(classes, "root").select("doc_id", "class_id", "class_size", "node")
+    return rooted.join(classes, "root").select("doc_id", "class_id", "class_size", "node", "root")
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents less all but one of each class: the row with the smallest doc_id, by text among equal ids."""
     classes = staged(duplicate_classes(docs, threshold), "near_classes")
-    best = classes.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("k"))
+    best = classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("k"))
     keep = best.select(F.col("k.doc_id").alias("__keep_id"), F.col("k.node").alias("__keep_node"))
-    text_node = F.unhex(F.md5(F.coalesce(docs["text"], F.lit(""))))
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]) & (text_node == keep["__keep_node"]), "left_semi")
+    noded = docs.withColumn("__node", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    kept = noded.join(keep, noded["doc_id"].eqNullSafe(keep["__keep_id"]) & (noded["__node"] == keep["__keep_node"]), "left_semi")
     repeated = classes.groupBy("doc_id", "node").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    return (kept.dropDuplicates(["doc_id", "__node"]) if repeated else kept).drop("__node")

@@ -60,7 +60,8 @@ def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.duplicate_classes(read_table(spark, sf_dir, "documents"), threshold=0.8).select("doc_id", "class_id", "class_size")
+    classes = neardup.duplicate_classes(read_table(spark, sf_dir, "documents"), threshold=0.8)
+    return classes.select("doc_id", "class_id", "class_size", F.lower(F.hex("root")).alias("class_key"))
 
 
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

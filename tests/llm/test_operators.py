@@ -199,6 +199,19 @@ def test_near_duplicates(spark, docs, empty):
     assert neardup.duplicate_classes(empty).count() == 0
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark, docs):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(None, one), (None, one + " end"), (None, two), (None, three), (5, "p " + one[::-1]), (5, "q " + two[::-1]), (None, None), (None, ""), (6, three), (6, three)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = neardup.duplicate_classes(table).collect()
+    classes = Counter((r["root"], r["class_id"], r["class_size"]) for r in got)
+    assert sorted(((i is None, i or 0), n) for _, i, n in classes) == sorted([((True, 0), 2), ((True, 0), 1), ((True, 0), 2), ((False, 5), 1), ((False, 5), 1), ((False, 6), 3)])
+    assert all(n == size for (_, _, size), n in classes.items())
+    kept = Counter((r["doc_id"], r["text"] or "") for r in neardup.keep_one(table).collect())
+    small = min(one, one + " end", key=lambda t: hashlib.md5(t.encode()).digest())
+    assert kept == Counter([(None, small), (None, two), (5, rows[4][1]), (5, rows[5][1]), (None, ""), (6, three)])
+
+
 def test_registers_estimate_the_weighted_similarity():
     a = {i: 1.0 + (i % 3) for i in range(200)}
     b = {i: 1.0 + (i % 2) for i in range(40, 240)}
