@@ -282,12 +282,18 @@ def repeated_spans(docs: DataFrame, window: int = 35, bucket_chars: int = 1_000_
     return sent.groupBy("bucket").applyInPandas(_count(window), "id bigint, text_key bigint, no_id bigint, first bigint, end bigint")
 
 
+def spans_of_texts(docs: DataFrame, window: int = 35) -> DataFrame:
+    """The distinct spans of each (id, text_key, no_id) in one array; copies of a row share it."""
+    # a set, made before the exchange as well: equal rows send equal spans
+    return repeated_spans(docs, window).groupBy("id", "text_key", "no_id").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+
+
 def remove_repeats(docs: DataFrame, window: int = 35, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every document with n_words, n_removed and kept_text: its words outside all repeated windows, joined by spaces.
 
     ``doc_id`` must be a long.  Columns in ``carry`` are kept under their names.
     """
-    spans = repeated_spans(docs, window).groupBy("id", "text_key", "no_id").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    spans = spans_of_texts(docs, window)
     rows = docs.select("doc_id", *carry, "text").withColumns(
         {"id": F.coalesce("doc_id", F.lit(0)), "text_key": F.xxhash64("text"), "no_id": F.col("doc_id").isNull().cast("long")}
     )

@@ -132,6 +132,15 @@ def test_repeated_windows(docs, empty):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_spans_of_equal_rows_are_held_once(docs):
+    rows = [(None, LONG)] * 40 + [(7, LONG)] * 40 + [(8, "other words")]
+    table = docs.sparkSession.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    got = substrings.spans_of_texts(table).collect()
+    assert len(got) == 2 and all(len(r["spans"]) == len(set(r["spans"])) <= 2 * 60 for r in got)
+    kept = Counter(tuple(r) for r in substrings.remove_repeats(table).select("doc_id", "n_words", "n_removed", "kept_text").collect())
+    assert kept == Counter({(None, 60, 60, ""): 40, (7, 60, 60, ""): 40, (8, 2, 0, "other words"): 1})
+
+
 def test_shards(docs, empty):
     got = sharding.shard_documents(docs, 4, block=3).collect()
     assert len(got) == len(ROWS)
