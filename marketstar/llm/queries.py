@@ -56,7 +56,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
-    return search.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10, scale=1024.0)
+    found = search.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10, scale=1024.0)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op8_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,6 +181,21 @@ def test_search_is_exact(spark, docs):
     assert search.top_k(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_search_keeps_every_row_of_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i % 30, [float(x) for x in rng.standard_normal(6)]) for i in range(90)]
+    rows += [rows[0]] * 3 + [rows[7]] * 15 + [(10, [0.0, 1.0]), (10, [-0.0, 1.0]), (10, [0.0, 1.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    got = Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in search.top_k(table, table.where("vec_id % 10 = 0")).collect())
+    fit = [(i, np.floor(np.pad(v, (0, 6 - len(v))) * 1024).astype(int)) for i, v in rows]
+    want = Counter()
+    for q, (i, v) in enumerate(fit):
+        if i % 10 == 0:
+            best = sorted((-int(v @ w), j) for d, (j, w) in enumerate(fit) if d != q)[:10]
+            want.update((i, n + 1, j, -s) for n, (s, j) in enumerate(best))
+    assert got == want
+
+
 def test_near_duplicates(spark, docs, empty):
     base = [f"t{i}" for i in range(100)]
     rows = list(ROWS)
