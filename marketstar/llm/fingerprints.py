@@ -17,6 +17,9 @@ of a table is its own successor; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,7 @@ _PROBES = 8
 _BIN_BITS = BINS.bit_length() - 1
 _REST = (1 << (64 - _BIN_BITS)) - 1  # the hash below its bin
 _MAX_BUCKETS = 16_384
+_SAME = 5000
 
 
 def _signed(x: int) -> int:
@@ -108,27 +112,39 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(corrected)
 
 
-def with_next(rows: DataFrame, fields: list[str], bytes_per_bucket: int = 1_000_000) -> DataFrame:
-    """Every row with ``fields`` of its successor by doc_id (after the last: the first) as ``next_<field>``.
+def deal(rows: DataFrame, bytes_per_bucket: int = 1_000_000) -> DataFrame:
+    """Every row with its place in a range (``__at``: range ``b``, ``guest``) and its order there, ``__ord`` and ``__tie``.
 
-    Rows are dealt to ranges of ids that hold about equally many, at most ``_MAX_BUCKETS``; each range also gets the
-    first row of the next one, so one shuffle serves all.
+    Ranges of (id, text hash) hold about equally many rows; each also gets the first row of the next one as a guest.
+    Equal rows beyond ``_SAME`` are successors of each other and lie in ranges below 0, in any order.
     """
-    low = -(1 << 63)
+    low, high = -(1 << 63), (1 << 63) - 1
     rows = rows.withColumns({"__ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(low)), "__tie": F.xxhash64("text")})
     size = rows.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).first()
-    count = min(_MAX_BUCKETS, max(1, (size["n"] or 0) // bytes_per_bucket, -(-size["rows"] // 5000)))
-    bounds = [F.lit(low)]
+    count = min(_MAX_BUCKETS, max(1, (size["n"] or 0) // bytes_per_bucket, -(-size["rows"] // _SAME)))
+    slices = {low: 1}
     if count > 1:
         cut = rows.agg(F.percentile_approx("__ord", [i / count for i in range(1, count)], 10 * count).alias("c")).first()["c"]
-        bounds += [F.lit(int(x)) for x in sorted(set(cut or []))]
-    bound, steps = F.array(*bounds), range(len(bounds).bit_length(), -1, -1)
+        often = Counter(int(x) for x in cut or [])
+        slices |= {x: n + 1 if n > 1 else 1 for x, n in often.items()}
+        # an id that fills several ranges has them to itself, by text hash
+        for x, n in often.items():
+            if n > 1 and x < high:
+                slices.setdefault(x + 1, 1)
+    bounds = sorted(slices)
+    bound, steps = F.array(*[F.lit(x) for x in bounds]), range(len(bounds).bit_length(), -1, -1)
 
     def narrow(at: Column, step: Column) -> Column:
         up = at + step
         return F.when((up < len(bounds)) & (F.get(bound, up) <= F.col("__ord")), up).otherwise(at)
 
     rows = rows.withColumn("__bucket", F.aggregate(F.array(*[F.lit(1 << s) for s in steps]), F.lit(0), narrow))
+    if max(slices.values()) > 1:
+        each = [slices[x] for x in bounds]
+        base = _ints(itertools.accumulate(each, initial=0))
+        share = F.get(_ints(each), F.col("__bucket"))
+        part = F.least(F.floor((F.col("__tie") / F.lit(2.0**64) + 0.5) * share).cast("int"), share - 1)
+        rows = rows.withColumn("__bucket", F.get(base, F.col("__bucket")) + part)
     by_bucket = Window.orderBy("__bucket")
     first = (
         rows.groupBy("__bucket")
@@ -136,15 +152,33 @@ def with_next(rows: DataFrame, fields: list[str], bytes_per_bucket: int = 1_000_
         .withColumn("__before", F.coalesce(F.lag("__bucket").over(by_bucket), F.max("__bucket").over(Window.partitionBy(F.lit(0)))))
         .select("__bucket", F.col("f.__ord").alias("__f_ord"), F.col("f.__tie").alias("__f_tie"), "__before")
     )
-    # at most _MAX_BUCKETS rows of four numbers
+    # at most 3 * _MAX_BUCKETS rows of four numbers
     rows = rows.join(F.broadcast(first), "__bucket")
     is_first = (F.col("__ord") == F.col("__f_ord")) & (F.col("__tie") == F.col("__f_tie"))
     here = F.struct(F.col("__bucket").alias("b"), F.lit(False).alias("guest"))
     there = F.struct(F.col("__before").alias("b"), F.lit(True).alias("guest"))
-    dealt = rows.withColumn("__at", F.explode(F.when(is_first, F.array(here, there)).otherwise(F.array(here))))
+    places = F.when(is_first, F.array(here, there)).otherwise(F.array(here))
+    same = rows.groupBy("__ord", "__tie").agg(F.count("*").alias("__same")).where(F.col("__same") > _SAME)
+    if same.limit(1).count():
+        # one row in _SAME of three numbers, at most; about _SAME copies stay in the order, the last of them before the next row
+        rows = rows.join(F.broadcast(same), ["__ord", "__tie"], "left").withColumn("__spare", F.coalesce(F.rand(5) * F.col("__same") > _SAME, F.lit(False)))
+        aside = F.struct((-1 - F.floor(F.rand(6) * count)).cast("int").alias("b"), F.lit(False).alias("guest"))
+        places = F.when(F.col("__spare"), F.array(aside)).otherwise(places)
+        rows = rows.drop("__same")
+    else:
+        rows = rows.withColumn("__spare", F.lit(False))
+    return rows.withColumn("__at", F.explode(places)).drop("__bucket", "__f_ord", "__f_tie", "__before", "__spare")
+
+
+def with_next(rows: DataFrame, fields: list[str], bytes_per_bucket: int = 1_000_000) -> DataFrame:
+    """Every row with ``fields`` of its successor by doc_id and text (after the last: the first) as ``next_<field>``.
+
+    Rows are dealt to ranges (``deal``), so one shuffle serves all; ``fields`` are functions of doc_id and text.
+    """
+    dealt = deal(rows, bytes_per_bucket)
     order = Window.partitionBy("__at.b").orderBy("__at.guest", "__ord", "__tie")
-    following = {f"next_{f}": F.lead(f).over(order) for f in fields}
-    return dealt.withColumns(following).where(~F.col("__at.guest")).drop("__ord", "__tie", "__bucket", "__f_ord", "__f_tie", "__before", "__at")
+    following = {f"next_{f}": F.when(F.col("__at.b") < 0, F.col(f)).otherwise(F.lead(f).over(order)) for f in fields}
+    return dealt.withColumns(following).where(~F.col("__at.guest")).drop("__ord", "__tie", "__at")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

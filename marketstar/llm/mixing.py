@@ -31,6 +31,8 @@ from marketstar.llm.common import checkpointed, staged, word_count
 
 OUTPUTS = ("size", "source_size", "target", "rate", "copies", "taken")
 _KEY = ["src", "no_src"]
+_BUCKET = ["bucket", "alike", "part"]
+_IN_BUCKET = 2048
 _SCALE = 256.0
 _REPS = 8
 
@@ -141,6 +143,25 @@ def cell_copies(hist: DataFrame, state: DataFrame, cap: int) -> DataFrame:
     return cells.join(fixes, [*_KEY, "size"], "left").withColumn("m", F.col("m0") + F.coalesce("k", F.lit(0))).drop("m0", "k")
 
 
+def in_buckets(rows: DataFrame, total: int) -> DataFrame:
+    """``rows`` (id, text_key, salt) with the columns of ``_BUCKET``: about ``_IN_BUCKET`` rows share them.
+
+    More rows of one id and text than that are alike; they come after all others, in parts of their own by salt.
+    """
+    buckets = max(16, -(-total // _IN_BUCKET))
+    key = F.xxhash64("id", "text_key")
+    plain = {"bucket": F.pmod(key, F.lit(buckets)), "alike": F.lit(0).cast("long"), "part": F.lit(0).cast("long")}
+    rows = rows.withColumn("key", key)
+    many = rows.groupBy("key").agg(F.count("*").alias("same")).where(F.col("same") > _IN_BUCKET)
+    if not many.limit(1).count():
+        return rows.withColumns(plain).drop("key", "salt")
+    # at most one row in _IN_BUCKET, of two numbers
+    part = F.pmod("salt", F.ceil(F.col("same") / F.lit(_IN_BUCKET))).cast("long")
+    hot = {"bucket": F.lit(buckets), "alike": F.col("key"), "part": part}
+    mixed = {c: F.when(F.col("same").isNotNull(), hot[c]).otherwise(plain[c]).cast("long") for c in _BUCKET}
+    return rows.join(F.broadcast(many), "key", "left").withColumns(mixed).drop("key", "salt", "same")
+
+
 def mix_documents(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -163,6 +184,7 @@ def mix_documents(
             word_count(F.col("text")).alias("size"),
             F.col("doc_id").alias("id"),
             F.xxhash64("text").alias("text_key"),
+            F.floor(F.rand(7) * (1 << 30)).alias("salt"),  # written, so all later passes see the same
         ),
         "mix_rows",
     )
@@ -172,19 +194,18 @@ def mix_documents(
     cells = cell_copies(hist, balance(hist, targets, float(cap)), cap)
 
     total = hist.agg(F.sum("n").alias("n")).first()["n"] or 0
-    buckets = max(16, -(-total // 2048))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "text_key"), F.lit(buckets)))
-    before = Window.partitionBy(*_KEY, "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rows = in_buckets(rows, total)
+    before = Window.partitionBy(*_KEY, "size").orderBy(*_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*_KEY, "size", "bucket")
+        rows.groupBy(*_KEY, "size", *_BUCKET)
         .agg(F.count("*").alias("in_bucket"))
         .withColumn("offset", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
         .join(cells, [*_KEY, "size"])
         .drop("in_bucket")
     )
-    rank = F.col("offset") + F.row_number().over(Window.partitionBy(*_KEY, "size", "bucket").orderBy("id", "text_key"))
+    rank = F.col("offset") + F.row_number().over(Window.partitionBy(*_KEY, "size", *_BUCKET).orderBy("id", "text_key"))
     out = (
-        rows.join(offsets, [*_KEY, "size", "bucket"])
+        rows.join(offsets, [*_KEY, "size", *_BUCKET])
         .withColumn("rank", rank)
         .withColumn("copies", F.expr("(rank * m) div n - ((rank - 1) * m) div n").cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))

@@ -98,6 +98,23 @@ def test_mixing_reaches_targets(spark, docs, empty):
     assert mixing.mix_documents(empty).count() == 0
 
 
+def test_equal_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "_SAME", 50)
+    monkeypatch.setattr(mixing, "_IN_BUCKET", 50)
+    rows = [(None, "same text here")] * 900 + [(None, f"null id {i}") for i in range(600)] + [(5, f"five {i}") for i in range(500)] + [(i, f"text {i}") for i in range(10, 400)]
+    table = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id bigint, text string, source string").repartition(4)
+    at = fingerprints.deal(table).groupBy("__at.b").count().collect()
+    assert max(r["count"] for r in at) <= 300
+    got = Counter((r["doc_id"], r["text"], r["next_text"]) for r in fingerprints.with_next(table, ["text"]).collect())
+    tie = {r["text"]: r["h"] for r in table.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]))
+    assert got == Counter((i, t, n) for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True))
+    keyed = table.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"), F.floor(F.rand(1) * 1000).alias("salt"))
+    assert max(r["count"] for r in mixing.in_buckets(keyed, len(rows)).groupBy(*mixing._BUCKET).count().collect()) <= 150
+    mixed = [sorted((r["doc_id"] or 0, r["text"], r["copies"]) for r in mixing.mix_documents(t).collect()) for t in (table, table.repartition(7))]
+    assert mixed[0] == mixed[1] and len(mixed[0]) == len(rows)
+
+
 def test_fingerprints(docs, empty):
     usable = docs.where("doc_id is not null")
     got = {r["doc_id"]: r for r in fingerprints.fingerprint_documents(usable).collect()}
