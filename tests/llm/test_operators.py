@@ -334,6 +334,18 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.score_toxicity(table.limit(0), labels.limit(0)).count() == 0
 
 
+def test_toxicity_learns_from_documents_of_all_lengths(spark, monkeypatch):
+    rows = [(i, "word " * (2000 if i % 3 == 0 else 20)) for i in range(60)]
+    table, seen = spark.createDataFrame(rows, "doc_id bigint, text string"), []
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, label: seen.append((texts, label)))
+    toxicity.learn(table, labels, 3, 1)
+    want = sorted(len(t) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1)
+    assert sorted(map(len, seen[0][0])) == want and want[-1] > 6000
+    toxicity.learn(table, labels, 3, 1, most_bytes=25_000)
+    assert 0 < sum(map(len, seen[1][0])) <= 50_000
+
+
 def test_recurrent_gradients_match_differences():
     rng = np.random.default_rng(0)
     scale = lambda *s: rng.standard_normal(s) * 0.4
