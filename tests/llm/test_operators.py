@@ -346,6 +346,22 @@ def test_toxicity_learns_from_documents_of_all_lengths(spark, monkeypatch):
     assert 0 < sum(map(len, seen[1][0])) <= 50_000
 
 
+def test_toxicity_scores_every_window():
+    text = " ".join(f"a{i}" for i in range(90))
+    c = next(iter(toxicity.chunks(toxicity.pa.array([text, "", "one two"], "string"))))
+    b, doc, begin, _, _ = toxicity._placed(c, toxicity.STRIDE)
+    assert np.bincount(doc).tolist() == [59, 1, 1] and begin[:59].tolist() == list(range(59))
+    rng = np.random.default_rng(0)
+    h, d = toxicity.HIDDEN, 2 * toxicity.DIM
+    p = {"att": rng.standard_normal(2 * h), "out": rng.standard_normal(2 * h), "bias": np.zeros(1)}
+    for s in "fb":
+        p |= {f"w{s}": rng.standard_normal((d, 3 * h)), f"u{s}": rng.standard_normal((h, 3 * h)), f"b{s}": np.zeros(3 * h)}
+    m = toxicity.Model(*(rng.standard_normal((toxicity.HASHES, toxicity.DIM)) for _ in range(2)), p)
+    every = toxicity.batch_of(c, 1)
+    score = toxicity.logits(m, every)
+    assert np.allclose(toxicity.highest(m, c), [score[every.doc == i].max() for i in range(3)])
+
+
 def test_recurrent_gradients_match_differences():
     rng = np.random.default_rng(0)
     scale = lambda *s: rng.standard_normal(s) * 0.4
