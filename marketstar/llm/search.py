@@ -27,9 +27,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketstar.llm.common import staged
+
 SHARD_ROWS = 4096
-QUERY_BLOCK = 2048
-_BLOCK = 1024
+QUERY_BLOCK = 8192
+_BLOCK = 256
 _PROBE = 8
 _LONG = (1 << 63) - 1
 
@@ -59,7 +61,7 @@ def top_k_block(ids: np.ndarray, docs: np.ndarray, query: np.ndarray, k: int) ->
             worst = best[-1]
             # essential: the shortest prefix such that rows with nothing above the least in it cannot compete
             essential = int(np.argmax(least[0] + rest < worst)) if (least[0] + rest < worst).any() else len(q)
-            essential = max(essential, _PROBE)
+            essential = min(max(essential, _PROBE), len(q))
             scores = block[keep][:, order[:essential]] @ q[:essential]
             j = essential
             while True:
@@ -69,7 +71,7 @@ def top_k_block(ids: np.ndarray, docs: np.ndarray, query: np.ndarray, k: int) ->
                     break
                 cols = order[j : j + _PROBE]
                 scores = scores + block[keep][:, cols] @ q[j : j + _PROBE]
-                j += _PROBE
+                j = min(j + _PROBE, len(q))
         best_rows, best = np.concatenate([best_rows, at + keep]), np.concatenate([best, scores])
         top = np.lexsort((ids[best_rows], -best))[:k]
         best_rows, best = best_rows[top], best[top]
@@ -104,20 +106,22 @@ def _search_shard(k: int, scale: float):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0) -> DataFrame:
     """(query_id, rank, vec_id, score, query_row) of the ``k`` highest-scoring rows of ``vectors`` for each row of ``queries``.
 
-    Both have vec_id and embedding.  Vectors are dealt to shards at random, which no result depends on, and queries to
-    blocks; a task holds one shard and one block of queries, so its memory is bounded whatever the tables' sizes.
+    Both have vec_id and embedding.  Vectors are numbered in a written table, so that a task run anew deals them alike,
+    and dealt to shards by their numbers; queries go to blocks.  A task holds one shard and one block of queries, so its
+    memory is bounded whatever the tables' sizes.
     """
     usable = "vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
     row = (F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
     # adding zero makes -0.0 and 0.0 one value, as grouping does
     key = F.xxhash64("vec_id", F.transform("vec", lambda x: x + F.lit(0.0)))
-    docs = vectors.where(usable).select(*row).withColumns({"row_key": key, "times": F.lit(1).cast("long")})
+    numbered = vectors.where(usable).select(*row, F.monotonically_increasing_id().alias("number"))
+    docs = staged(numbered, "search_vectors").withColumns({"row_key": key, "times": F.lit(1).cast("long")})
     asked = queries.where(usable).select(*row).groupBy("vec_id", "vec").agg(F.count("*").alias("times")).withColumn("row_key", key)
-    sizes = vectors.agg(F.count("*").alias("n")).first()["n"], queries.agg(F.count("*").alias("n")).first()["n"]
-    shards, blocks = max(16, -(-sizes[0] // SHARD_ROWS)), max(1, -(-sizes[1] // QUERY_BLOCK))
+    sizes = docs.agg(F.count("*").alias("n")).first()["n"], queries.agg(F.count("*").alias("n")).first()["n"]
+    shards, blocks = max(1, -(-sizes[0] // SHARD_ROWS)), max(1, -(-sizes[1] // QUERY_BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     columns = ["vec_id", "vec", "row_key", "times"]
-    dealt = docs.select(*columns, F.floor(F.rand(11) * shards).cast("int").alias("shard")).select("*", every(blocks).alias("block")).withColumn("is_query", F.lit(False))
+    dealt = docs.select(*columns, F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int").alias("shard")).select("*", every(blocks).alias("block")).withColumn("is_query", F.lit(False))
     sent = asked.select(*columns, every(shards).alias("shard"), F.pmod("row_key", F.lit(blocks)).cast("int").alias("block")).withColumn("is_query", F.lit(True))
     found = dealt.unionByName(sent).groupBy("shard", "block").applyInPandas(_search_shard(k, scale), ", ".join(f"{c} bigint" for c in _FOUND))
     own = (F.col("vec_id") == F.col("query_id")) & (F.col("row_key") == F.col("query_row"))
