@@ -25,11 +25,6 @@ def test_query_matches_oracle(spark, sf_small, con, name):
     assert r["ok"], r
 
 
-def test_search_matches_oracle(spark, sf_small, con):
-    r = compare(E.queries()["op7_maxscore"](spark, sf_small), con, E.oracle_sql()["op7_maxscore"])
-    assert r["ok"], r
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["sector", "avg_sector_return", "avg_sp500_return", "avg_excess_return", "stocks"]
