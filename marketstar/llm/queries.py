@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketstar.llm import fingerprints, mixing, neardup, packing, quality, search, sharding, substrings, toxicity, urls, variants
+from marketstar.llm import alignment, fingerprints, mixing, neardup, packing, quality, search, sharding, substrings, toxicity, urls, variants
 from marketstar.llm.common import importable, read_table
 
 #: The filter's explicit rules, (action, host/path).
@@ -73,6 +73,16 @@ def op10_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rank_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), parts=5, held=0, cut=0.3)
 
 
+def alignment_tokenizers() -> tuple[str, str]:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op11_merge_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read_table(spark, sf_dir, "documents"), *alignment_tokenizers())[0]
+
+
 def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variant_forms(read_table(spark, sf_dir, "documents"), shortest=7, least=2, ratio=10, every=31)
 
@@ -81,7 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_url_filter, op2_entropy_mix, op3_one_permutation, op4_super_kmers, op5_karmarkar_karp,
         op6_toxicity, op7_maxscore, op8_prob_minhash, op9_pack, op10_bradley_terry,
-        op12_variants,
+        op11_merge_path, op12_variants,
     )
     return {f.__name__: (lambda spark, sf_dir, f=f: f(importable(spark), sf_dir)) for f in ops}
 
