@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketstar.llm import alignment, fingerprints, mixing, neardup, packing, quality, search, sharding, substrings, toxicity, urls, variants
+from marketstar.llm import alignment, fingerprints, mixing, neardup, packing, prefixfree, quality, search, sharding, substrings, toxicity, urls, variants
 from marketstar.llm.common import importable, read_table
 
 #: The filter's explicit rules, (action, host/path).
@@ -87,11 +87,16 @@ def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variant_forms(read_table(spark, sf_dir, "documents"), shortest=7, least=2, ratio=10, every=31)
 
 
+def op13_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = prefixfree.remove_repeated_bytes(read_table(spark, sf_dir, "documents"), window=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_url_filter, op2_entropy_mix, op3_one_permutation, op4_super_kmers, op5_karmarkar_karp,
         op6_toxicity, op7_maxscore, op8_prob_minhash, op9_pack, op10_bradley_terry,
-        op11_merge_path, op12_variants,
+        op11_merge_path, op12_variants, op13_prefix_free,
     )
     return {f.__name__: (lambda spark, sf_dir, f=f: f(importable(spark), sf_dir)) for f in ops}
 
@@ -124,5 +129,35 @@ where "rank" <= 10
 """
 
 
+#: Every 400-byte string of every text by its digest; texts as hex, two digits a byte.
+_OP13_SQL = """
+with d as (
+    select row_number() over () as r, doc_id, lower(hex(encode(coalesce(text, '')))) as h
+    from documents
+),
+w as (
+    select r, i, md5(substr(h, cast(2 * i + 1 as bigint), 800)) as k
+    from (select r, h, unnest(range(0, length(h) // 2 - 399)) as i from d where length(h) >= 800)
+),
+again as (select r, i from (select r, i, count(*) over (partition by k) as n from w) where n > 1),
+runs as (
+    select r, i, sum(new) over (partition by r order by i) as g
+    from (select r, i, case when i - lag(i) over (partition by r order by i) <= 400 then 0 else 1 end as new from again)
+),
+spans as (select r, min(i) as a, max(i) + 400 as z from runs group by r, g),
+pieces as (select r, a, z, coalesce(lag(z) over (partition by r order by a), 0) as before from spans),
+per as (
+    select r, sum(z - a) as n_removed, count(*) as n_spans, max(z) as last,
+        string_agg(substr(h, cast(2 * before + 1 as bigint), cast(2 * (a - before) as bigint)), '' order by a) as kept
+    from pieces join d using (r)
+    group by r
+)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+    cast(coalesce(n_spans, 0) as bigint) as n_spans,
+    sha256(unhex(case when n_spans is null then h else kept || substr(h, cast(2 * last + 1 as bigint)) end)) as kept_sha256
+from d left join per using (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_maxscore": _OP7_SQL}
+    return {"op7_maxscore": _OP7_SQL, "op13_prefix_free": _OP13_SQL}
