@@ -25,11 +25,13 @@ are cut into many pieces of one task's row batch.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import compress, pairwise
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketstar.llm.alignment import byte_of_character
 from marketstar.llm.common import staged
 from marketstar.llm.text import chunks
 
+if TYPE_CHECKING:
+    from tiktoken import Encoding
+
 CACHE_WORDS = 1_000_000  # about 200 MB a worker
 GROUPS = 256
-_AT_ONCE = 2_000  # new words in one call of the tokenizer
+_AT_ONCE = 20_000  # new words in one call
 #: Kinds of bytes in UTF-8: letters of ASCII and Latin-1, digits and marks; odd are all others, and the apostrophe and
 #: the bar, which the vocabulary's patterns and special tokens treat apart.
 _GAP, _LETTER, _DIGIT, _SIGN, _LEAD, _TAIL, _ODD = range(7)
@@ -51,6 +57,7 @@ _KIND[33:127], _KIND[48:58], _KIND[65:91], _KIND[97:123] = _SIGN, _DIGIT, _LETTE
 _KIND[32], _KIND[0xC3], _KIND[0x80:0xC0] = _GAP, _LEAD, _TAIL
 _KIND[[0x27, 0x7C, 0x97, 0xB7]] = _ODD
 _RUN_SHIFT = np.int64(44)
+_END = "\ue000"  # a private character: no plain word holds it
 
 
 # --- tokens -----------------------------------------------------------------
@@ -71,11 +78,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bare = Tokenizer.from_file(path)  # for plain words, which need no more than lower case
-        self.bare.normalizer = None
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.runs, self.ids, self.ends = run_encoding(path)
         self.cache: dict[bytes, bytes] = {}
 
     @classmethod
@@ -102,9 +105,9 @@ class WordTokenizer:
             part = words[at : at + _AT_ONCE]
             runs, plain = plain_runs(part)
             alike, other = list(compress(part, plain)), list(compress(part, ~plain))
-            text = b" ".join(alike).decode("utf-8", "replace").lower()
-            ids = np.asarray(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            last = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+            ranks = np.array(self.runs.encode_ordinary(marked_runs(alike)), np.int64)
+            ids = self.ids[ranks]
+            last = np.append(0, np.flatnonzero(self.ends[ranks]) + 1)
             if len(last) == runs[plain].sum() + 1:
                 coded, cut = ids.tobytes(), (4 * last[np.append(0, np.cumsum(runs[plain]))]).tolist()
                 self.cache.update(zip(alike, [coded[a:b] for a, b in pairwise(cut)], strict=True))
@@ -114,6 +117,49 @@ class WordTokenizer:
             self.cache.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(other, got, strict=True))
 
 
+def run_encoding(path: str) -> tuple[Encoding, np.ndarray, np.ndarray]:
+    """The vocabulary's merges for lower-case runs that each end in ``_END``, as ranks; each rank's id, and whether it ends a run.
+
+    The file marks a run's last byte; here the mark's own bytes are joined first and then to that byte.
+    """
+    from tiktoken import Encoding
+
+    with open(path) as f:
+        model = json.load(f)["model"]
+    byte, suffix = byte_of_character(), model["end_of_word_suffix"]
+    end = _END.encode()
+    ranks = {bytes([k]): k for k in range(256)} | {end[:2]: 256, end: 257} | {bytes([k]) + end: 258 + k for k in range(256)}
+    ids = np.zeros(514 + len(model["merges"]), "<u4")
+    for c, k in byte.items():
+        ids[k], ids[258 + k] = model["vocab"][c], model["vocab"][c + suffix]
+    for k, pair in enumerate(model["merges"]):
+        token = "".join(pair if isinstance(pair, list) else pair.split(" "))
+        open_ = token.removesuffix(suffix)
+        ranks.setdefault(bytes(byte[c] for c in open_) + (end if open_ != token else b""), 514 + k)
+        ids[514 + k] = model["vocab"][token]
+    ends = np.zeros(len(ids), bool)
+    ends[[r for t, r in ranks.items() if t.endswith(end)]] = True
+    return Encoding("runs", pat_str=f"[^{_END}]+{_END}", mergeable_ranks=ranks, special_tokens={}), ids, ends
+
+
+def _run_starts(kind: np.ndarray) -> np.ndarray:
+    new = np.zeros(len(kind), bool)
+    new[1:] = (kind[1:] != _GAP) & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+    return new
+
+
+def marked_runs(words: list[bytes]) -> str:
+    """All runs of plain words in a row, in lower case, each followed by ``_END``."""
+    text = np.frombuffer(b" ".join([*words, b""]).decode().lower().encode(), np.uint8)
+    kind = _KIND[text]
+    kind[(kind == _LEAD) | (kind == _TAIL)] = _LETTER
+    over = np.append(False, (kind[:-1] != _GAP) & ((kind[1:] == _GAP) | _run_starts(kind)[1:]))
+    at = np.flatnonzero(over)
+    end = np.frombuffer(_END.encode(), np.uint8)
+    out = np.insert(text, np.repeat(at, len(end)), np.tile(end, len(at)))
+    return out[out != 32].tobytes().decode()
+
+
 def plain_runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """How many runs (letters, marks, or one digit) each word has, and whether its kinds of bytes are known for sure."""
     kind = _KIND[np.frombuffer(b" ".join([b"", *words, b""]), np.uint8)]
@@ -122,10 +168,8 @@ def plain_runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     kind[:-1][lead[:-1] & ~tail[1:]] = _ODD
     odd = kind == _ODD
     kind[lead | tail] = _LETTER
-    new = np.zeros(len(kind), np.int64)
-    new[1:] = (kind[1:] != _GAP) & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
     first = np.flatnonzero(kind == _GAP)[:-1]
-    return np.add.reduceat(new, first), ~np.logical_or.reduceat(odd, first)
+    return np.add.reduceat(_run_starts(kind).astype(np.int64), first), ~np.logical_or.reduceat(odd, first)
 
 
 def _pieces(path: str, size: int, with_ids: bool):
