@@ -468,7 +468,7 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(rows: DataFrame, window: int = 400, heavy: int = HEAVY) -> DataFrame:
     """(id, text_key, spans): the byte spans of each document covered by strings of ``window`` bytes that occur again.
 
-    ``rows`` has id, text_key and text (not null).
+    ``rows`` has id, text_key and text (not null); a caller that joins the spans with all its columns shares the exchange.
     """
     reach = reach_of(window)
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
@@ -476,7 +476,8 @@ def repeated_spans(rows: DataFrame, window: int = 400, heavy: int = HEAVY) -> Da
     found = rows.mapInArrow(_phrases(reach, coarse), "bucket bigint, body binary")
     marks = found.groupBy("bucket").applyInPandas(_count_phrases(heavy), "id bigint, text_key bigint, marks binary")
     marked = rows.join(marks.groupBy("id", "text_key").agg(F.collect_set("marks").alias("marks")), ["id", "text_key"])
-    sent = marked.select("id", "text_key", "text", "marks").mapInArrow(_send(window, reach, fine), "bucket bigint, body binary")
+    # all columns of the rows, so that both joins with the documents share one exchange of them
+    sent = marked.select(*rows.columns, "marks").mapInArrow(_send(window, reach, fine), "bucket bigint, body binary")
     spans = sent.groupBy("bucket").applyInPandas(_decide(window), "id bigint, text_key bigint, first bigint, end bigint")
     # a set, made before the exchange as well: equal rows send equal spans
     return spans.groupBy("id", "text_key").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
