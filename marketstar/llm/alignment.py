@@ -32,7 +32,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,8 @@ PIECE, BLOCK, REMEMBERED = 8_192, 4 << 20, 400_000
 #: Bytes that surely begin a character other than white space.
 _SURE = rb"!-~\xc3-\xdf\xe4-\xf4"
 _CUT = re.compile(rb"(?<=[^ ]) (?=[" + _SURE + rb"])")
+#: Fixed value: the public pattern of byte-level vocabularies.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _STARTS = np.zeros(256, bool)
 _STARTS[[*range(0x21, 0x7F), *range(0xC3, 0xE0), *range(0xE4, 0xF5)]] = True
 
@@ -91,26 +93,44 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+def groups_as_text(ids_a: np.ndarray, ids_b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;`` for each group that ends at A token ``at_a`` and B token ``at_b``, and where each group's text ends."""
+    group_a = np.searchsorted(at_a, np.arange(len(ids_a)))
+    group_b = np.searchsorted(at_b, np.arange(len(ids_b)))
+    place_a = np.arange(len(ids_a)) + np.append(0, at_b + 1)[group_a]
+    place_b = np.arange(len(ids_b)) + (at_a + 1)[group_b]
+    value, mark = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+    value[place_a], value[place_b] = ids_a, ids_b
+    mark[place_a[at_a]], mark[place_b[at_b]] = ord("|"), ord(";")
+    digits = 1 + sum((value >= 10**k).astype(np.int64) for k in range(1, 5))
+    end = np.cumsum(digits + 1)
+    out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
+    out[end - 1] = mark
+    for k in range(5):
+        has = digits > k
+        out[end[has] - 2 - k] = 48 + value[has] // 10**k % 10
+    return out.tobytes(), end[place_b[at_b]]
+
+
 class Aligner:
     """Both tokenizers with a bounded memory of aligned segments; one per worker process and pair of files."""
 
     _loaded: dict[tuple[str, str], Aligner] = {}
 
     def __init__(self, path_a: str, path_b: str):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.b = SentencePieceProcessor(model_file=path_b)
-        byte = _byte_of_character()
-        vocabulary = self.a.get_vocab()
+        # tiktoken works off the file's vocabulary as ranks: the same ids, which the tests hold against the file's own tokenizer
+        byte, own = _byte_of_character(), Tokenizer.from_file(path_a)
+        vocabulary = own.get_vocab()
+        special = {t.content for t in own.get_added_tokens_decoder().values()}
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
-            self.a_bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+            self.a_bytes[i] = token.encode() if token in special else bytes(byte[c] for c in token)
+        self.a = Encoding("a", pat_str=_PATTERN, mergeable_ranks={self.a_bytes[i]: i for t, i in vocabulary.items() if t not in special}, special_tokens={})
+        self.b = SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if len(self.a_bytes) > 1 << 16 or len(self.b_bytes) > 1 << 16:
@@ -133,37 +153,50 @@ class Aligner:
         self.tallies = np.empty((0, 4), np.int64)  # each segment's A tokens, B tokens, groups, validity
         self.links, self.link_at = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
+    def _ids_of_a(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of each segment's) by A.  Segments that surely begin no white space share one text, as a
+        token starts at the space before each."""
+        first = np.array([s[0] if s else 32 for s in segments], np.uint8)
+        sure, n = np.flatnonzero(_STARTS[first]), np.zeros(len(segments), np.int64)
+        together = [segments[k] for k in sure]
+        ids = np.array(self.a.encode_ordinary(b"".join(b" " + s for s in together).decode()), np.int64)
+        borders = np.cumsum([len(s) + 1 for s in together])
+        n[sure] = np.diff(np.searchsorted(np.cumsum(self.a_size[ids]), borders, "right"), prepend=0)
+        alone = {k: self.a.encode_ordinary(" " + segments[k].decode()) for k in np.flatnonzero(~_STARTS[first]).tolist()}
+        if not alone:
+            return ids, n
+        n[[*alone]] = [len(x) for x in alone.values()]
+        out, of = np.empty(int(n.sum()), np.int64), np.repeat(np.arange(len(segments)), n)
+        apart = np.isin(of, [*alone])
+        out[~apart], out[apart] = ids, [*chain.from_iterable(alone.values())]
+        return out, n
+
     def _learn(self, segments: list[bytes]) -> None:
         """Encodes and aligns distinct segments (each stands for a space and these bytes)."""
         texts = [s.decode("utf-8", "replace") for s in segments]
-        of_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         of_b = self.b.encode(texts, num_threads=1)
-        whole = [b" " + s for s in segments]
-        ok = np.array([b"".join(map(self.a_bytes.__getitem__, x)) == w and b"".join(map(self.b_bytes.__getitem__, y)) == w for x, y, w in zip(of_a, of_b, whole, strict=True)], bool)
-        good = np.flatnonzero(ok).tolist()
-        ids_a, ids_b = (np.fromiter(chain.from_iterable(x[k] for k in good), np.int64) for x in (of_a, of_b))
+        n_b = np.fromiter(map(len, of_b), np.int64, len(of_b))
+        ids_b = np.fromiter(chain.from_iterable(of_b), np.int64, int(n_b.sum()))
+        ok = np.ones(len(segments), bool)
+        if b"".join(map(self.b_bytes.__getitem__, ids_b.tolist())) != b"".join(b" " + s for s in segments):
+            ok[:] = [b"".join(map(self.b_bytes.__getitem__, x)) == b" " + s for x, s in zip(of_b, segments, strict=True)]
+            ids_b = ids_b[np.repeat(ok, n_b)]
+        good = segments if ok.all() else [s for s, fit in zip(segments, ok, strict=True) if fit]
+        per = np.zeros((len(segments), 4), np.int64)
+        ids_a, per[ok, 0] = self._ids_of_a(good)  # byte-level tokens are the text's bytes
+        per[ok, 1], per[:, 3] = n_b[ok], ok
         # the segments' bytes follow each other, so one merge aligns them all
         ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
         at_a, at_b = shared_ends(ends_a, ends_b)
         link = (ids_a[at_a] << 16 | ids_b[at_b]).astype(np.uint32)
-        borders = np.cumsum([len(whole[k]) for k in good]) if good else np.empty(0, np.int64)
-        per = np.zeros((len(segments), 4), np.int64)
+        borders = np.cumsum([len(s) + 1 for s in good])
         links_to = np.searchsorted(ends_a[at_a], borders, "right")
-        per[good, 0], per[good, 1] = [len(of_a[k]) for k in good], [len(of_b[k]) for k in good]
-        per[good, 2] = np.diff(links_to, prepend=0)
-        per[:, 3] = ok
-        # groups as text: each token is followed by a comma, or by what ends its group
-        text_a, text_b = [str(i) for i in ids_a.tolist()], [str(i) for i in ids_b.tolist()]
-        groups, i, j = [], 0, 0
-        for p, q in zip((at_a + 1).tolist(), (at_b + 1).tolist(), strict=True):
-            groups.append(",".join(text_a[i:p]) + "|" + ",".join(text_b[j:q]))
-            i, j = p, q
-        said, start = [b""] * len(segments), 0
-        for k, to in zip(good, links_to.tolist(), strict=True):
-            said[k] = ";".join(groups[start:to]).encode()
-            start = to
+        per[ok, 2] = np.diff(links_to, prepend=0)
+        text, group_to = groups_as_text(ids_a, ids_b, at_a, at_b)
+        upto = group_to[links_to - 1].tolist() if len(good) else []
+        said = iter([text[x : y - 1] for x, y in pairwise([0, *upto])])
         self.number.update(zip(segments, range(len(self.said), len(self.said) + len(segments)), strict=True))
-        self.said += said
+        self.said += [next(said) if fit else b"" for fit in ok.tolist()]
         self.tallies = np.concatenate([self.tallies, per])
         self.links = np.concatenate([self.links, link])
         self.link_at = np.append(self.link_at, self.link_at[-1] + np.cumsum(per[:, 2]))
