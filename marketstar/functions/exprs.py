@@ -18,16 +18,21 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Places of the decimal text that rounding looks at: enough for any value as written, while the last bits of a
+#: double sum, which depend on the order of its rows, do not decide a tie.
+_TEXT_PLACES = 12
+
+
 def R(x: ColumnOrName, n: int) -> Column:
     """Round half-up on the decimal text of ``x``; result stays ``double``.
 
     ``round`` on a double differs between engines at ties (1.005, 0.125);
-    going through a decimal of 8 places makes Spark and the SQL oracle agree.
-    A value beyond ``decimal(38,8)`` has no such places: it is rounded as the
-    double it is, without an error.
+    going through the text makes Spark and the SQL oracle agree.  A value
+    beyond ``decimal(38,12)`` has no such places: it is rounded as the double
+    it is, without an error.
     """
     x = _c(x)
-    return F.coalesce(F.round(x.try_cast("decimal(38,8)"), n).cast("double"), F.round(x.cast("double"), n))
+    return F.coalesce(F.round(x.try_cast(f"decimal(38,{_TEXT_PLACES})"), n).cast("double"), F.round(x.cast("double"), n))
 
 
 def nullif0(x: ColumnOrName) -> Column:
@@ -90,16 +95,15 @@ def projection_flag(year: ColumnOrName, estimates_start: ColumnOrName) -> Column
     return F.when(start.isNotNull() & (_c(year) > start), F.lit("Y")).otherwise(F.lit("N"))
 
 
-def year_bounds(year: int) -> tuple[str, str]:
-    """First and last day of a calendar year as ISO strings (for range predicates)."""
-    return f"{year:04d}-01-01", f"{year:04d}-12-31"
-
+def in_calendar_year(date_col: ColumnOrName, year: ColumnOrName | int) -> Column:
+    """``year(d) = y`` written as a closed date range so it reaches the parquet scan.
 
-def in_calendar_year(date_col: ColumnOrName, year: int) -> Column:
-    """``year(d) = y`` written as a closed date range so it reaches the parquet scan."""
-    lo, hi = year_bounds(year)
+    ``year`` may be an expression (a year taken from ``current_date()`` folds
+    to a constant, one from a scalar subquery is known before the scan).
+    """
+    y = F.lit(year) if isinstance(year, int) else _c(year)
     d = _c(date_col)
-    return (d >= F.lit(lo).cast("date")) & (d <= F.lit(hi).cast("date"))
+    return (d >= F.make_date(y, F.lit(1), F.lit(1))) & (d <= F.make_date(y, F.lit(12), F.lit(31)))
 
 
 def with_period_change(
@@ -137,3 +141,29 @@ def with_period_change(
         change = F.coalesce(change, F.lit(float(fill_first)))
     df = df.withColumn(out, change)
     return df.drop(base) if pad else df
+
+
+def with_calendar_change(df: DataFrame, value: str, out: str, date_col: str, pad: bool = False, fill_first: float | None = None) -> DataFrame:
+    """:func:`with_period_change` over one series in the order of its unique dates, without gathering it in one task.
+
+    Years are the ranges: inside one, the previous row comes from a window over
+    that year alone; each year's last value goes to the first row of the next
+    year that has rows, through one row per year.
+    """
+    year, base = "__calendar_year", f"__{out}_base"
+    df = df.withColumns({year: F.year(date_col), base: _c(value)})
+    inside = Window.partitionBy(year).orderBy(date_col)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over_years = Window.orderBy(year)  # one row per calendar year
+    known = F.max_by(base, F.when(F.col(base).isNotNull(), F.col(date_col))) if pad else F.max_by(base, date_col)
+    ends = df.groupBy(year).agg(known.alias("__end"))
+    before = F.last("__end", ignorenulls=pad).over(over_years.rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(year, before.alias("__before"))
+    joined = df.join(ends, year, "left")
+    if pad:
+        joined = joined.withColumn(base, F.coalesce(F.last(base, ignorenulls=True).over(so_far), F.col("__before")))
+    previous = F.when(F.row_number().over(inside) == 1, F.col("__before")).otherwise(F.lag(base).over(inside))
+    change = (F.col(base) / nullif0(previous) - F.lit(1.0)) * F.lit(100.0)
+    if fill_first is not None:
+        change = F.coalesce(change, F.lit(float(fill_first)))
+    return joined.withColumn(out, change).drop(year, base, "__before")

@@ -228,28 +228,18 @@ def run_metric(
 def filter_counts(view: DataFrame, names: Sequence[str], key: str = "ticker") -> DataFrame:
     """Rows and distinct keys matched by each named filter, in one pass.
 
-    Each row emits the names of the filters it satisfies (at most one row
-    per filter), then one grouped aggregation counts them; filters with no
-    match are added back with zeros from the (bounded) list of names.
+    Rows are reduced to one per key first, holding how many of the key's rows
+    each filter matches (a hash aggregation with map-side combine, no row is
+    multiplied); a second, global one sums the counts and counts the keys that
+    have any, so distinct counts are exact.  A NULL key counts rows only.
     """
     ms = [get(n, "filter") for n in names]
     check(view, ms)
-    hits = F.filter(
-        F.array(*[F.when(m.column(), F.lit(m.name)) for m in ms]), lambda x: x.isNotNull()
-    )
-    matched = (
-        view.select(key, F.explode(hits).alias("filter_name"))
-        .groupBy("filter_name")
-        .agg(F.count(F.lit(1)).alias("matched_rows"), F.count_distinct(key).alias("matched_keys"))
-    )
-    from ..sources.universe import literal_rows
-
-    all_names = literal_rows(view.sparkSession, [(n,) for n in names], ["filter_name"])
-    return (
-        all_names.join(matched, "filter_name", "left")
-        .select(
-            "filter_name",
-            F.coalesce("matched_rows", F.lit(0)).cast("bigint").alias("matched_rows"),
-            F.coalesce("matched_keys", F.lit(0)).cast("bigint").alias("matched_keys"),
-        )
+    slots = [f"__f{i}" for i in range(len(ms))]
+    per_key = view.groupBy(key).agg(*[F.count_if(m.column()).alias(s) for m, s in zip(ms, slots)])
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(s), F.lit(0)).cast("bigint").alias(f"{s}_rows") for s in slots],
+        *[F.count_if((F.col(s) > 0) & F.col(key).isNotNull()).alias(f"{s}_keys") for s in slots],
     )
+    both = totals.select(*[F.struct(F.col(f"{s}_rows").alias("matched_rows"), F.col(f"{s}_keys").alias("matched_keys")).alias(n) for n, s in zip(names, slots)])
+    return both.unpivot([], list(names), "filter_name", "counts").select("filter_name", "counts.*")

@@ -9,6 +9,8 @@ in the text are safe.
 from __future__ import annotations
 
 import threading
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,21 +41,63 @@ def use_schema(spark: SparkSession, schema: str, create: bool = True) -> None:
     spark.sql("USE SCHEMA IDENTIFIER(:name)", args={"name": schema})
 
 
+@contextmanager
+def using_schema(spark: SparkSession, schema: str):
+    """``use_schema`` for a while: afterwards the caller's current schema is current again."""
+    before = spark.catalog.currentDatabase()
+    use_schema(spark, schema)
+    try:
+        yield
+    finally:
+        use_schema(spark, before, create=False)
+
+
 def write_table(
-    df: DataFrame, table: str, partition_by: list[str] | None = None, location: str | None = None
+    df: DataFrame,
+    table: str,
+    partition_by: list[str] | None = None,
+    location: str | None = None,
+    buckets: tuple[int, list[str]] | None = None,
 ) -> None:
     """Full overwrite of a catalog table (schema replaced with the new one).
 
-    ``location`` makes it an external table at that path (shared storage).
+    ``location`` makes it an external table at that path (shared storage);
+    ``buckets`` is a number of buckets and the columns that sort them, the
+    first of which they are cut by.
     """
     w = df.write.mode("overwrite").option("overwriteSchema", "true")
     if location:
         w = w.option("path", location)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if buckets:
+        n, columns = buckets
+        w = w.bucketBy(n, columns[0]).sortBy(*columns)
     w.saveAsTable(table)
 
 
+#: Schema of the tables that the library writes for itself.
+SCRATCH_SCHEMA = "marketstar_scratch"
+
+
+def bucket_count(rows: int, rows_per_bucket: int = 50_000_000, least: int = 8, most: int = 50_000) -> int:
+    """Buckets for data derived from ``rows`` landed rows: a few files a year each, however large the data."""
+    return int(min(most, max(least, -(-rows // rows_per_bucket))))
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, columns: list[str], partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a bucketed table at ``path`` and return a scan of it that knows its buckets.
+
+    Bucketing is catalog metadata, so the files belong to a table of a fresh
+    name in :data:`SCRATCH_SCHEMA`; the current schema stays as it is.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_identifier(SCRATCH_SCHEMA)}")
+    table = qualified(SCRATCH_SCHEMA, f"{name}_{uuid.uuid4().hex}")
+    write_table(df, table, partition_by, path, (buckets, columns))
+    return spark.table(table)
+
+
 def set_table_comment(spark: SparkSession, table: str, text: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS {sql_string(text)}")
 
@@ -72,6 +116,24 @@ def column_comments(spark: SparkSession, table: str) -> dict[str, str]:
     }
 
 
+def comments(spark: SparkSession, schema: str) -> DataFrame:
+    """Table, view and column comments of a schema as rows ``(object, column_name, comment)``.
+
+    Read back from the catalog, whose size is the number of declared columns;
+    an object's own comment has no column name.  Objects and columns without a
+    comment have a row with a NULL comment.
+    """
+    rows = []
+    for t in spark.catalog.listTables(schema):
+        if t.isTemporary:
+            continue
+        rows.append((t.name, None, t.description or None))
+        rows += [(t.name, c.name, c.description or None) for c in spark.catalog.listColumns(f"{quote_identifier(schema)}.{quote_identifier(t.name)}")]
+    from ..sources.universe import literal_rows
+
+    return literal_rows(spark, rows, ["object", "column_name", "comment"])
+
+
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """Bounded preview of a table (a limit is the feature here)."""
     return df.limit(n)
@@ -124,29 +186,27 @@ def view_sql(schema: str) -> dict[str, str]:
     }
 
 
-def storage_layout(name: str, df: DataFrame) -> tuple[DataFrame, list[str] | None]:
-    """Physical layout of a table on write: ``(frame to write, partition columns)``.
+def storage_layout(name: str, df: DataFrame, clustered: int | None = None) -> tuple[DataFrame, list[str] | None, tuple | None]:
+    """Physical layout of a table on write: ``(frame to write, partition columns, buckets)``.
 
     The daily price fact is the one table that grows with time at a fixed
-    universe, and its queries filter by calendar year or by ticker.  It is
-    written partitioned by ``trade_year`` (year filters prune folders) and
-    sorted by ticker and date inside each task (ticker lookups skip row groups
-    by their min/max statistics).
-
-    The ``rebalance`` hint puts one exchange on ``trade_year`` in front of the
-    writer, managed by AQE: small partitions are coalesced and an oversized
-    year is split into several tasks.  Without it every task would write one
-    small file per year it holds (tasks x years files); with it the files of
-    a year come out near the advisory partition size.
+    universe; its queries filter by calendar year, look up a ticker, or
+    aggregate and join by ticker.  It is partitioned by ``trade_year`` (year
+    filters prune folders), bucketed by ticker inside (joins and aggregations
+    by ticker read it where it is, without an exchange) and sorted by ticker
+    and date (ticker lookups skip row groups by their statistics).
+
+    ``clustered`` is the number of buckets its rows already come in, by
+    ticker; otherwise one exchange on the ticker is put in front of the
+    writer, so that each bucket of a year is one file.
     """
     if name == "fact_stock_prices":
-        out = (
-            df.withColumn("trade_year", F.year("trade_date").cast("int"))
-            .hint("rebalance", "trade_year")
-            .sortWithinPartitions("trade_year", "ticker", "trade_date")
-        )
-        return out, ["trade_year"]
-    return df, None
+        out = df.withColumn("trade_year", F.year("trade_date").cast("int"))
+        buckets = clustered or bucket_count(0)
+        if not clustered:
+            out = out.repartition(buckets, "ticker")
+        return out, ["trade_year"], (buckets, ["ticker", "trade_date"])
+    return df, None, None
 
 
 def publish(
@@ -175,12 +235,12 @@ def publish(
     def load(name):
         fields, comment = schemas.TABLES[name]
         where = f"{location.rstrip('/')}/{name}" if location else None
-        data, parts = storage_layout(name, star.table(name))
+        data, parts, buckets = storage_layout(name, star.table(name), star.clustered)
         obs = None
         if report is not None:
             data, obs = observed(data, name)
         save_with_comments(
-            spark, data, qualified(schema, name), fields, comment, location=where, partition_by=parts
+            spark, data, qualified(schema, name), fields, comment, location=where, partition_by=parts, buckets=buckets
         )
         if obs is not None:
             report[name] = obs.get["rows"]
@@ -225,23 +285,24 @@ def observed(df: DataFrame, name: str):
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_with_layout(name: str, df: DataFrame, path: str, report: dict | None = None) -> DataFrame:
+def write_with_layout(name: str, df: DataFrame, path: str, report: dict | None = None, clustered: int | None = None) -> DataFrame:
     """Write one star table with its storage layout and return a scan of it.
 
     When ``report`` is given, the number of rows written is stored in it
     under ``name`` (observed during the write, no second scan).
     """
-    data, parts = storage_layout(name, df)
+    data, parts, buckets = storage_layout(name, df, clustered)
     obs = None
     if report is not None:
         data, obs = observed(data, name)
-    w = data.write.mode("overwrite")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(path)
+    if buckets:
+        out = write_bucketed(data, name, path, *buckets, partition_by=parts)
+    else:
+        data.write.mode("overwrite").parquet(path)
+        out = df.sparkSession.read.parquet(path)
     if obs is not None:
         report[name] = obs.get["rows"]
-    return df.sparkSession.read.parquet(path)
+    return out
 
 
 _PUBLISHED: dict = {}
@@ -269,7 +330,7 @@ def published_star(spark: SparkSession, key, build, root: str) -> Star:
         def table(name):
             with locks[name]:
                 if name not in done:
-                    done[name] = write_with_layout(name, lazy.table(name), f"{root.rstrip('/')}/{name}")
+                    done[name] = write_with_layout(name, lazy.table(name), f"{root.rstrip('/')}/{name}", clustered=lazy.clustered)
                 return done[name]
 
         star = Star(raw=lazy.raw, **{n: (lambda n=n: table(n)) for n in TABLE_NAMES})
@@ -297,7 +358,7 @@ def materialize(star: Star, root: str, parallel: int = 4, report: dict | None =
     spark = star.raw["raw_profiles"].sparkSession if star.raw else star.dim_companies.sparkSession
 
     def write(name):
-        return name, write_with_layout(name, star.table(name), f"{root.rstrip('/')}/{name}", report)
+        return name, write_with_layout(name, star.table(name), f"{root.rstrip('/')}/{name}", report, star.clustered)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         written = dict(pool.map(write, TABLE_NAMES))

@@ -13,12 +13,15 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from .. import schemas
 from ..sources.universe import SECTORS
+from .catalog import VIEW_COMMENTS
 from .queries import DEFAULT, Params
+from .views import FUNDAMENTALS_COMPANY_COLS, FUNDAMENTALS_FACT_COLS
 
 
 def R(x: str, n: int) -> str:
-    return f"cast(round(cast(({x}) as decimal(28,8)), {n}) as double)"
+    return f"cast(round(cast(cast(({x}) as varchar) as decimal(38,12)), {n}) as double)"
 
 
 def _lit(s: str) -> str:
@@ -124,6 +127,14 @@ def _keep(expr: str, fallback: str) -> str:
     return f"case when {_ERR} then {fallback} else {expr} end"
 
 
+def _returns_padded_sql(src: str) -> str:
+    """Returns against the previous known close of the ticker."""
+    return f"""select ticker, trade_date, open_price, high_price, low_price, close_price, volume,
+  coalesce((known / nullif(lag(known) over (partition by ticker order by trade_date), 0) - 1) * 100, 0e0) as daily_return_pct
+from (select *, last_value(close_price ignore nulls) over (partition by ticker order by trade_date
+        rows between unbounded preceding and current row) as known from {src})"""
+
+
 CTES: dict[str, tuple[str, tuple]] = {
     "raw_profiles": (
         """select concat('S', cast(s_suppkey as varchar)) as ticker, s_name as company_name, r_name as curated_sector,
@@ -167,6 +178,15 @@ from supplier join nation on s_nationkey = n_nationkey join region on n_regionke
 from (select *, {_fallback('current_price', _fallback('regular_market_price', '0e0'))} as px from raw_profiles) rp""",
         ("raw_profiles",),
     ),
+    "landed_profiles": (
+        """select * exclude (ticker, market_cap, fetch_error), k % 9 = 4 as cut,
+  case when k % 10 <> 7 then ticker end as ticker,
+  case when k % 9 <> 5 then market_cap end as market_cap,
+  coalesce(fetch_error, case when k % 9 = 5 then 'market_cap is no double: abc' end) as fetch_error
+from (select *, cast(ticker[2:] as bigint) as k from raw_profiles)""",
+        ("raw_profiles",),
+    ),
+    "json_profiles": ("select * from landed_profiles where not cut and ticker is not null", ("landed_profiles",)),
     "dim_sectors": (
         "select * from (values "
         + ", ".join(f"({_lit(n)}, {_lit(d)})" for n, d in SECTORS)
@@ -183,6 +203,11 @@ from lineitem group by cast(l_shipdate as date)""",
     ),
     "fact_stock_prices": (_returns_sql("raw_prices", "ticker"), ("raw_prices",)),
     "fact_sp500_benchmark": (_returns_sql("raw_index", ""), ("raw_index",)),
+    "prices_gappy": (
+        "select * replace (case when day(trade_date) % 7 <> 0 then close_price end as close_price) from raw_prices",
+        ("raw_prices",),
+    ),
+    "index_unique": ("select * from raw_index where day(trade_date) <> 5", ("raw_index",)),
     "stmt_base": (
         """select l_suppkey as k, cast(year(l_shipdate) as integer) as y,
   cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as rev, sum(l_quantity) as qty, count(*) as n
@@ -209,6 +234,14 @@ from stmt_base""",
         ("stmt_base",),
     ),
     "fact_financials": (_financials_sql(pad=False), ("statement_periods",)),
+    "statement_periods_nan": (
+        "select * replace (case when cast(ticker[2:] as bigint) % 6 <> 1 then revenue end as revenue) from statement_periods",
+        ("statement_periods",),
+    ),
+    "fact_financials_nan": (
+        _financials_sql(pad=False).replace("from statement_periods)", "from statement_periods_nan)"),
+        ("statement_periods_nan",),
+    ),
     "fact_financials_padded": (_financials_sql(pad=True), ("statement_periods",)),
     "panel_cells": (
         """select nk, n_name, code, y,
@@ -254,6 +287,58 @@ from dim_companies c join fact_stock_prices p on c.ticker = p.ticker join fact_s
 }
 
 
+def _companies_of(profiles: str) -> str:
+    """The ``dim_companies`` statement over other profile records."""
+    return CTES["dim_companies"][0].replace("from raw_profiles)", f"from {profiles})")
+
+
+def _outperformance(year: str) -> str:
+    return f"""select sector, {R('avg(stock_daily_return_pct)', 4)} as avg_sector_return,
+  {R('avg(sp500_daily_return_pct)', 4)} as avg_sp500_return, {R('avg(excess_return_pct)', 4)} as avg_excess_return,
+  count(distinct ticker) as stocks
+from vw_stock_vs_benchmark where trade_year = {year} group by sector"""
+
+
+def _ytd_best(year: str) -> str:
+    return f"""select ticker, company_name, sector, {R('((last_price - first_price) / first_price) * 100', 2)} as ytd_return_pct
+from (select ticker, company_name, sector, arg_min(close_price, trade_date) as first_price,
+        arg_max(close_price, trade_date) as last_price
+      from vw_stock_performance where trade_year = {year} group by ticker, company_name, sector) t
+where first_price > 0 order by ytd_return_pct desc nulls last, ticker limit 10"""
+
+
+_LATEST_YEAR = "(select year(max(trade_date)) from fact_sp500_benchmark)"
+
+
+def _comment_rows() -> str:
+    """The declared comments of tables, their columns and views; a view's column has the comment of the one it shows."""
+    said = {t: {n: c for n, _, c in fields} for t, (fields, _) in schemas.TABLES.items()}
+    rows = []
+    for table, (fields, comment) in schemas.TABLES.items():
+        rows.append((table, None, comment))
+        rows += [(table, name, text) for name, _, text in fields]
+    rows.append(("fact_stock_prices", "trade_year", None))  # the partition column of the stored fact
+    c, p, b, f = (said[t] for t in ("dim_companies", "fact_stock_prices", "fact_sp500_benchmark", "fact_financials"))
+    parts = {"trade_year": None, "trade_month": None, "trade_quarter": None}
+    shown = {
+        "vw_company_fundamentals": {n: c[n] for n in FUNDAMENTALS_COMPANY_COLS} | {n: f[n] for n in FUNDAMENTALS_FACT_COLS},
+        "vw_stock_performance": {n: c[n] for n in ("ticker", "company_name", "sector", "industry", "market_cap")}
+        | {n: t for n, t in p.items() if n != "ticker"}
+        | parts,
+        "vw_stock_vs_benchmark": {n: c[n] for n in ("ticker", "company_name", "sector", "industry", "beta")}
+        | {n: p[n] for n in ("trade_date", "close_price")}
+        | {"stock_daily_return_pct": p["daily_return_pct"], "sp500_close": b["close_price"]}
+        | {"sp500_daily_return_pct": b["daily_return_pct"], "excess_return_pct": None}
+        | parts,
+        "vw_economic_overview": said["fact_economic_indicators"],
+    }
+    for view, columns in shown.items():
+        rows.append((view, None, VIEW_COMMENTS[view]))
+        rows += [(view, name, text) for name, text in columns.items()]
+    text = lambda v: "cast(null as varchar)" if v is None else _lit(v)
+    return ", ".join(f"({', '.join(map(text, r))})" for r in rows)
+
+
 def with_ctes(body: str, needs) -> str:
     """Prefix ``body`` with the CTEs it needs, dependencies first."""
     order: list[str] = []
@@ -292,7 +377,7 @@ def _inventory(order: list[str], count_col: str) -> str:
 
 
 def oracle_sql(p: Params = DEFAULT) -> dict[str, str]:
-    y = p.this_year
+    y = p.as_of_date.year
     end = p.as_of_date
     start = end - _dt.timedelta(days=365 * p.trailing_years)
     trailing_where = f"where l_shipdate >= timestamp '{start.isoformat()}' and l_shipdate < timestamp '{end.isoformat()}'"
@@ -624,6 +709,51 @@ from vw_stock_vs_benchmark where beta > 1.2 group by sector, trade_year""",
             vsb,
         ),
         "table_roundtrip": _table("dim_companies"),
+        "m_synonyms": with_ctes(
+            f"""select sector, {R('avg(revenue)', 2)} as avg_revenue, {R('avg(net_income)', 2)} as avg_net_income,
+  {R('avg(return_on_equity_pct)', 2)} as avg_return_on_equity_pct, {R('avg(trailing_pe)', 2)} as avg_trailing_pe
+from vw_company_fundamentals where net_income > 0 group by sector""",
+            fund,
+        ),
+        "q_latest_sector_outperformance": with_ctes(_outperformance(_LATEST_YEAR), vsb),
+        "q_latest_ytd_best": with_ctes(_ytd_best(_LATEST_YEAR), perf + ["fact_sp500_benchmark"]),
+        "companies_from_json": with_ctes(_companies_of("json_profiles"), ["json_profiles"]),
+        "profiles_rejected": with_ctes(
+            """select ticker, 'profile' as stage, fetch_error as error from json_profiles where fetch_error is not null
+union all select ticker, 'prices', 'no price rows' from json_profiles
+  where ticker not in (select concat('S', cast(l_suppkey as varchar)) from lineitem where l_suppkey is not null)
+union all select ticker, 'statements', 'no income statement' from json_profiles
+  where ticker not in (select concat('S', cast(l_suppkey as varchar)) from lineitem where l_suppkey is not null)
+union all select null, 'landing', case when cut then 'malformed record' else 'no key' end from landed_profiles
+  where cut or ticker is null""",
+            ["landed_profiles", "json_profiles"],
+        ),
+        "tickers_without_bars": f"""select concat('S', cast(s_suppkey as varchar)) as ticker, 'prices' as stage, 'no price rows' as error
+from supplier where s_suppkey not in (select l_suppkey from lineitem where l_suppkey is not null
+  and l_shipdate >= timestamp '{(end - _dt.timedelta(days=3)).isoformat()}' and l_shipdate < timestamp '{end.isoformat()}')""",
+        "prices_from_files": _table("fact_stock_prices"),
+        "prices_padded": with_ctes(_returns_padded_sql("prices_gappy"), ["prices_gappy"]),
+        "index_from_files": _table("fact_sp500_benchmark"),
+        "index_repeated_days": with_ctes(
+            """select trade_date, cast(2 as bigint) as rows, close_price as lowest_close, close_price + 1 as highest_close
+from raw_index where day(trade_date) = 5""",
+            ["raw_index"],
+        ),
+        "index_quarantined": with_ctes(_returns_sql("index_unique", ""), ["index_unique"]),
+        "financials_from_files": with_ctes("select * from fact_financials_nan", ["fact_financials_nan"]),
+        "indicators_from_panels": with_ctes(
+            "select * from fact_economic_indicators where cast(country_code[2:] as integer) % 2 = 0 or year > 2015", fei
+        ),
+        "sql_sector_volume": with_ctes(
+            """select v.sector, v.trade_year, cast(sum(v.volume) as bigint) as volume, count(distinct c.exchange) as exchanges
+from vw_stock_performance v join dim_companies c on v.ticker = c.ticker where v.volume > 0 group by v.sector, v.trade_year""",
+            perf + ["dim_companies"],
+        ),
+        "catalog_comments": _inventory(notebook, "object_rows").replace(
+            f"select {_lit(notebook[0])} as object", f"select n.*, i.object_rows from (values {_comment_rows()}) as n(object, column_name, comment) join (select {_lit(notebook[0])} as object", 1
+        )
+        + ") as i on n.object = i.object",
+        "preview_companies": with_ctes("select * from dim_companies order by ticker limit 5", ["dim_companies"]),
         "q_ask_highest_volume_days": with_ctes(
             f"""select ticker, trade_date, volume, {R('close_price', 2)} as close, {R('daily_return_pct', 2)} as return_pct
 from vw_stock_performance where ticker = {_lit(p.ticker)}

@@ -34,13 +34,13 @@ from .star import Star
 class Params:
     """Query parameters.
 
-    ``as_of`` replaces ``CURRENT_DATE``: ``None`` means today (read once
-    when the plan is built, as ``current_date()`` is fixed per query).  The
-    other defaults fit the driver-derived data; :data:`DEFAULT` pins
-    ``as_of`` for it.
+    ``as_of`` replaces ``CURRENT_DATE``: an ISO day, a date expression, or
+    ``None`` for ``current_date()`` itself, which Spark fixes once per query
+    in the session's time zone.  The other defaults fit the driver-derived
+    data; :data:`DEFAULT` pins ``as_of`` for it.
     """
 
-    as_of: str | None = None
+    as_of: str | Column | None = None
     ticker: str = "S1"
     gdp: str = "IND 2-HIGH"
     inflation: str = "IND 1-URGENT"
@@ -71,21 +71,29 @@ class Params:
     def latest(cls, star: Star, **overrides) -> "Params":
         """Parameters anchored on the most recent trading day in the data.
 
-        The default-to-latest-period rule for calendar-year questions: one
-        aggregate over the index fact (one row per calendar day, so bounded)
-        returns a single date, which then becomes a literal in every plan so
-        year filters still prune partitions.
+        The default-to-latest-period rule for calendar-year questions: the
+        day is a scalar subquery over the index fact (one row per calendar
+        day), evaluated before the scans, so year filters prune partitions.
         """
-        (last,) = star.fact_sp500_benchmark.agg(F.max("trade_date")).first()
-        return cls(as_of=last.isoformat() if last else None, **overrides)
+        return cls(as_of=star.fact_sp500_benchmark.select(F.max("trade_date")).scalar(), **overrides)
 
     @property
-    def as_of_date(self) -> _dt.date:
-        return _dt.date.fromisoformat(self.as_of) if self.as_of else _dt.date.today()
+    def day(self) -> Column:
+        """The as-of day as an expression."""
+        if self.as_of is None:
+            return F.current_date()
+        return F.lit(self.as_of).cast("date") if isinstance(self.as_of, str) else self.as_of
+
+    @property
+    def year(self) -> Column:
+        return F.year(self.day)
 
     @property
-    def this_year(self) -> int:
-        return self.as_of_date.year
+    def as_of_date(self) -> _dt.date:
+        """The pinned as-of day (for texts of other engines)."""
+        if not isinstance(self.as_of, str):
+            raise ValueError("as_of is not a pinned day")
+        return _dt.date.fromisoformat(self.as_of)
 
 
 # Parameter set for the driver data (its dates run 1995-2001).
@@ -96,7 +104,7 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def _trade_year(df: DataFrame, year: int) -> DataFrame:
+def _trade_year(df: DataFrame, year: Column) -> DataFrame:
     return df.where((F.col("trade_year") == year) & in_calendar_year("trade_date", year))
 
 
@@ -278,17 +286,55 @@ def l11_inflation_latest_actual(star: Star, p: Params = DEFAULT) -> DataFrame:
     )
 
 
+def _price_counts(star: Star, count_col: str) -> DataFrame:
+    """Rows of the price fact and of the two views over it, in one scan of it.
+
+    A view's rows are the fact's times the matches of its ticker and of its
+    day, so the fact meets one row per ticker and one per day.
+    """
+    per_ticker = star.dim_companies.groupBy("ticker").agg(_count().alias("companies"))
+    per_day = star.fact_sp500_benchmark.groupBy("trade_date").agg(_count().alias("days"))
+    met = (
+        star.fact_stock_prices.select("ticker", "trade_date")
+        .join(per_ticker, "ticker", "left")
+        .join(per_day, "trade_date", "left")
+    )
+    companies, days = F.coalesce("companies", F.lit(0)), F.coalesce("days", F.lit(0))
+    sums = met.agg(_count().alias("a"), F.sum(companies).alias("b"), F.sum(companies * days).alias("c"))
+    return _named_counts(sums, {"fact_stock_prices": "a", "vw_stock_performance": "b", "vw_stock_vs_benchmark": "c"}, count_col)
+
+
+def _fundamentals_counts(star: Star, count_col: str) -> DataFrame:
+    """Rows of companies, filings and the left join of both, each read once."""
+    companies = star.dim_companies.groupBy("ticker").agg(_count().alias("companies"))
+    filings = star.fact_financials.groupBy("ticker").agg(_count().alias("filings"))
+    c, f = F.coalesce("companies", F.lit(0)), F.coalesce("filings", F.lit(0))
+    sums = companies.join(filings, "ticker", "full").agg(F.sum(c).alias("a"), F.sum(f).alias("b"), F.sum(c * F.greatest(f, F.lit(1))).alias("c"))
+    return _named_counts(sums, {"dim_companies": "a", "fact_financials": "b", "vw_company_fundamentals": "c"}, count_col)
+
+
+def _named_counts(sums: DataFrame, names: dict[str, str], count_col: str) -> DataFrame:
+    rows = [F.struct(F.lit(n).alias("object"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(count_col)) for n, c in names.items()]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def inventory(star: Star, order: str = "notebook", count_col: str = "rows") -> DataFrame:
-    """Row count of the six tables and four views, one ``UNION ALL`` branch each."""
-    t = star.tables()
-    v = V.views(star)
-    names = (
-        ["dim_companies", "dim_sectors", "fact_stock_prices", "fact_sp500_benchmark", "fact_financials"]
-        if order == "notebook"
-        else ["dim_companies", "dim_sectors", "fact_financials", "fact_stock_prices", "fact_sp500_benchmark"]
+    """Row count of the six tables and four views, ``UNION ALL``, in the asked order.
+
+    The views are not joined to be counted, and the price fact is read once.
+    """
+    tables = ["dim_companies", "dim_sectors", "fact_stock_prices", "fact_sp500_benchmark", "fact_financials"]
+    if order != "notebook":
+        tables = ["dim_companies", "dim_sectors", "fact_financials", "fact_stock_prices", "fact_sp500_benchmark"]
+    names = tables + ["fact_economic_indicators"] + list(V.VIEWS)
+    indicators = star.fact_economic_indicators.agg(_count().alias("a"))
+    counts = (
+        _price_counts(star, count_col)
+        .unionByName(_fundamentals_counts(star, count_col))
+        .unionByName(_named_counts(indicators, {"fact_economic_indicators": "a", "vw_economic_overview": "a"}, count_col))
+        .unionByName(row_inventory({n: star.table(n) for n in ("dim_sectors", "fact_sp500_benchmark")}, "object", count_col))
     )
-    names += ["fact_economic_indicators"] + list(V.VIEWS)
-    return row_inventory({n: (t.get(n) if n in t else v[n]) for n in names}, "object", count_col)
+    return counts.orderBy(F.array_position(F.array(*[F.lit(n) for n in names]), F.col("object")))
 
 
 def l12_row_inventory(star: Star, p: Params = DEFAULT) -> DataFrame:
@@ -358,7 +404,7 @@ def l16_low_pe_latest(star: Star, p: Params = DEFAULT) -> DataFrame:
 
 def l17_sector_outperformance(star: Star, p: Params = DEFAULT) -> DataFrame:
     return (
-        _trade_year(V.stock_vs_benchmark(star), p.this_year)
+        _trade_year(V.stock_vs_benchmark(star), p.year)
         .groupBy("sector")
         .agg(
             R(F.avg("stock_daily_return_pct"), 4).alias("avg_sector_return"),
@@ -425,26 +471,38 @@ def _ytd_return(first: str = "first_price", last: str = "last_price") -> Column:
     return R((F.col(last) - F.col(first)) / F.col(first) * F.lit(100.0), 2)
 
 
+def _year_of_prices(star: Star, year: Column, *columns: str) -> DataFrame:
+    """The price fact's rows of one calendar year, without any company column."""
+    p = star.fact_stock_prices
+    if "trade_year" not in p.columns:
+        p = p.withColumn("trade_year", F.year("trade_date"))
+    return _trade_year(p, year).select("ticker", *columns)
+
+
+def _top_companies(star: Star, per_ticker: DataFrame, rank: str, k: int) -> DataFrame:
+    """The ``k`` best tickers that have a company, then their names.
+
+    ``per_ticker`` is already reduced to one row a ticker; companies join it by
+    key alone before the top-k, and with their text only for its rows.
+    """
+    order = [F.desc_nulls_last(rank), "ticker"]
+    best = per_ticker.join(star.dim_companies.select("ticker"), "ticker", "left_semi").orderBy(*order).limit(k)
+    names = star.dim_companies.select("ticker", "company_name", "sector")
+    return best.join(names, "ticker").select("ticker", "company_name", "sector", *per_ticker.columns[1:]).orderBy(*order).limit(k)
+
+
 def l22_ytd_best(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
     """Window form: first/last close per ticker in the year, then DISTINCT, top-k."""
-    perf = _trade_year(V.stock_performance(star), p.this_year)
     w = Window.partitionBy("ticker").orderBy("trade_date")
-    ytd = perf.select(
+    ytd = _year_of_prices(star, p.year, "trade_date", "close_price").select(
         "ticker",
-        "company_name",
-        "sector",
         F.first("close_price").over(w).alias("first_price"),
         F.last("close_price")
         .over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         .alias("last_price"),
     )
-    return (
-        ytd.where(F.col("first_price") > 0)
-        .select("ticker", "company_name", "sector", _ytd_return().alias("ytd_return_pct"))
-        .distinct()
-        .orderBy(F.desc_nulls_last("ytd_return_pct"), "ticker")
-        .limit(k)
-    )
+    per_ticker = ytd.where(F.col("first_price") > 0).select("ticker", _ytd_return().alias("ytd_return_pct")).distinct()
+    return _top_companies(star, per_ticker, "ytd_return_pct", k)
 
 
 def ytd_best_minmax_by(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
@@ -453,32 +511,30 @@ def ytd_best_minmax_by(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFram
     A hash aggregation with map-side combine instead of a sort per ticker;
     equal to the window form while a ticker has one row per day.
     """
-    perf = _trade_year(V.stock_performance(star), p.this_year)
-    return (
-        perf.groupBy("ticker", "company_name", "sector")
+    per_ticker = (
+        _year_of_prices(star, p.year, "trade_date", "close_price")
+        .groupBy("ticker")
         .agg(
             F.min_by("close_price", "trade_date").alias("first_price"),
             F.max_by("close_price", "trade_date").alias("last_price"),
         )
         .where(F.col("first_price") > 0)
-        .select("ticker", "company_name", "sector", _ytd_return().alias("ytd_return_pct"))
-        .orderBy(F.desc_nulls_last("ytd_return_pct"), "ticker")
-        .limit(k)
+        .select("ticker", _ytd_return().alias("ytd_return_pct"))
     )
+    return _top_companies(star, per_ticker, "ytd_return_pct", k)
 
 
 def l23_most_volatile(star: Star, p: Params = DEFAULT, k: int = 10) -> DataFrame:
-    return (
-        _trade_year(V.stock_performance(star), p.this_year - 1)
-        .groupBy("ticker", "company_name", "sector")
+    per_ticker = (
+        _year_of_prices(star, p.year - 1, "daily_return_pct")
+        .groupBy("ticker")
         .agg(
             R(F.stddev_samp("daily_return_pct"), 4).alias("daily_return_stddev"),
             R(F.min("daily_return_pct"), 2).alias("worst_day"),
             R(F.max("daily_return_pct"), 2).alias("best_day"),
         )
-        .orderBy(F.desc_nulls_last("daily_return_stddev"), "ticker")
-        .limit(k)
     )
+    return _top_companies(star, per_ticker, "daily_return_stddev", k)
 
 
 def l24_country_gdp_trend(star: Star, p: Params = DEFAULT) -> DataFrame:
@@ -521,7 +577,7 @@ def l26_highly_leveraged(star: Star, p: Params = DEFAULT) -> DataFrame:
 
 def l27_stock_vs_index_prior_year(star: Star, p: Params = DEFAULT) -> DataFrame:
     return (
-        _trade_year(V.stock_vs_benchmark(star), p.this_year - 1)
+        _trade_year(V.stock_vs_benchmark(star), p.year - 1)
         .where(F.col("ticker") == p.ticker)
         .groupBy("ticker", "company_name")
         .agg(
@@ -753,7 +809,7 @@ def ask_high_yield(star: Star, p: Params = DEFAULT) -> DataFrame:
 def ask_best_sector_returns(star: Star, p: Params = DEFAULT) -> DataFrame:
     """Average daily return per sector in the as-of year, best first."""
     return (
-        _trade_year(V.stock_performance(star), p.this_year)
+        _trade_year(V.stock_performance(star), p.year)
         .groupBy("sector")
         .agg(
             R(F.avg("daily_return_pct"), 4).alias("avg_daily_return_pct"),

@@ -6,26 +6,26 @@ whole tables, so its work grows with the data.
 
 from __future__ import annotations
 
-import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import semantic as S
-from ..session import app_id, scratch_path
+from ..session import scratch_path, session_key
 from ..sources import files, landed
 from ..sources.tables import TableSource
-from . import catalog, star as K, views as V
+from ..operators.quality import missing_keys
+from . import catalog, queries as Q, star as K, views as V
 from .queries import DEFAULT, QUERIES, Params
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _star(spark: SparkSession, sf_dir: str) -> K.Star:
-    """The star published once per application and source folder (see
+    """The star published once per session and source folder (see
     :func:`catalog.published_star`); tables are written on first use."""
-    key = (app_id(spark), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     return catalog.published_star(
         spark, key, lambda: K.star_from_driver(spark, sf_dir), scratch_path(spark, "published_star")
     )
@@ -69,9 +69,8 @@ def prices_with_returns(spark, sf_dir):
 
 def prices_trailing_years(spark, sf_dir, p: Params = DEFAULT):
     """Bars of the trailing ``5 x 365`` days before ``as_of`` with returns inside that range."""
-    end = p.as_of_date
-    start = end - _dt.timedelta(days=365 * p.trailing_years)
-    raw = landed.raw_prices(TableSource(spark, sf_dir), start.isoformat(), end.isoformat())
+    start = F.date_sub(p.day, 365 * p.trailing_years)
+    raw = landed.raw_prices(TableSource(spark, sf_dir), start, p.day)
     return K.stock_prices(raw)
 
 
@@ -155,18 +154,141 @@ def m_run_metric(spark, sf_dir):
     )
 
 
+def m_synonyms(spark, sf_dir):
+    """A metric asked for in business terms, in the asker's capitals, shown at two places."""
+    fund = V.company_fundamentals(_star(spark, sf_dir))
+    return S.present(S.run_metric(fund, dims=["sector"], measures=["Top Line", "bottom line", "ROE", "p/e"], filters=["profitable"]))
+
+
+def latest_sector_outperformance(spark, sf_dir):
+    """L17 for the year of the most recent trading day, found by a subquery of the same plan."""
+    star = _star(spark, sf_dir)
+    return Q.l17_sector_outperformance(star, Params.latest(star))
+
+
+def latest_ytd_best(spark, sf_dir):
+    star = _star(spark, sf_dir)
+    return Q.l22_ytd_best(star, Params.latest(star))
+
+
+# ---- landed files: the same records written out and read back through the file readers
+
+
+def _landed(spark, name, df, fmt="parquet"):
+    path = scratch_path(spark, f"landed_{name}")
+    df.write.format(fmt).save(path)
+    return path
+
+
+def _profile_json(spark, sf_dir):
+    return files.read_checked_profiles(spark, _landed(spark, "profiles", landed.profile_lines(TableSource(spark, sf_dir)), "text"))
+
+
+def companies_from_json(spark, sf_dir):
+    """``dim_companies`` from JSON lines of which some are cut, some have no ticker, some a word for a number."""
+    return K.companies(_profile_json(spark, sf_dir)[0])
+
+
+def profiles_rejected(spark, sf_dir):
+    """What the landed JSON lines lost and why, with the tickers that lack bars or statements."""
+    raw = K.landed_inputs(spark, sf_dir)
+    profiles, checked = _profile_json(spark, sf_dir)
+    return K.profile_quarantine(profiles, raw["raw_prices"], raw["raw_statements"], checked)
+
+
+def tickers_without_bars(spark, sf_dir, p: Params = DEFAULT):
+    """Companies without a single bar in the three days before ``as_of``."""
+    src = TableSource(spark, sf_dir)
+    recent = landed.raw_prices(src, F.date_sub(p.day, 3), p.day)
+    return missing_keys(landed.raw_profiles(src), recent, "ticker", "prices", "no price rows")
+
+
+def prices_from_files(spark, sf_dir):
+    """Bars landed as JSON, read with their declared types, returns computed."""
+    path = _landed(spark, "prices", K.landed_inputs(spark, sf_dir)["raw_prices"], "json")
+    return K.stock_prices(files.read_prices(spark, path, "json"))
+
+
+def prices_padded(spark, sf_dir):
+    """Returns over bars with missing closes: the last known close is carried over the gap."""
+    raw = landed.prices_with_gaps(K.landed_inputs(spark, sf_dir)["raw_prices"])
+    return K.stock_prices(raw, pad=True)
+
+
+def index_from_files(spark, sf_dir):
+    path = _landed(spark, "index", K.landed_inputs(spark, sf_dir)["raw_index"])
+    return K.benchmark(files.read_index(spark, path))
+
+
+def index_repeated_days(spark, sf_dir):
+    """Days that a landed index claims more than once."""
+    return K.duplicate_days(landed.index_with_repeats(K.landed_inputs(spark, sf_dir)["raw_index"]))
+
+
+def index_quarantined(spark, sf_dir):
+    """The index without its repeated days, returns taken from one unique day to the next."""
+    return K.benchmark(landed.index_with_repeats(K.landed_inputs(spark, sf_dir)["raw_index"]), on_duplicate="quarantine")
+
+
+def financials_from_files(spark, sf_dir):
+    """Statements landed with NaN for a missing figure, read and pivoted."""
+    path = _landed(spark, "statements", landed.statements_with_nan(K.landed_inputs(spark, sf_dir)["raw_statements"]))
+    return K.financials(files.read_statements(spark, path))
+
+
+def indicators_from_panels(spark, sf_dir):
+    """Two deliveries of the panel with other years and another column order, united by name."""
+    wide = landed.raw_indicator_panel(TableSource(spark, sf_dir))
+    folder = scratch_path(spark, "panels")
+    for name, part in zip(("even", "odd"), landed.panel_halves(wide)):
+        files.write_delimited_panel(part, f"{folder}/{name}")
+    spec = K.driver_indicator_spec()
+    columns = [*K.WIDE_ID_COLUMNS, *[str(y) for y in landed.PANEL_YEARS]]
+    return K.indicators(files.read_panels(spark, f"{folder}/*", columns), spec)
+
+
+def sql_sector_volume(spark, sf_dir):
+    """A question asked as SQL text over the registered tables and views."""
+    star = _star(spark, sf_dir)
+    V.register_temp_views(spark, star)
+    return spark.sql(
+        "SELECT v.sector, v.trade_year, SUM(v.volume) AS volume, COUNT(DISTINCT c.exchange) AS exchanges "
+        "FROM vw_stock_performance v JOIN dim_companies c ON v.ticker = c.ticker "
+        "WHERE v.volume > 0 GROUP BY v.sector, v.trade_year"
+    )
+
+
+def preview_companies(spark, sf_dir):
+    """The first rows of a table in the order of its key."""
+    return catalog.preview(_star(spark, sf_dir).table("dim_companies").orderBy("ticker"), 5)
+
+
+COMMENTS_SCHEMA = "marketstar_comments"
+
+
+def catalog_comments(spark, sf_dir):
+    """Comments of the published tables and views after a second full overwrite, with each object's rows."""
+    star = _star(spark, sf_dir)
+    with catalog.using_schema(spark, COMMENTS_SCHEMA):
+        for _ in range(2):
+            catalog.publish(spark, star, COMMENTS_SCHEMA, location=scratch_path(spark, "comments"))
+    published = catalog.star_from_catalog(spark, COMMENTS_SCHEMA)
+    rows = Q.inventory(published, "notebook", "object_rows").withColumnRenamed("object", "o")
+    notes = catalog.comments(spark, COMMENTS_SCHEMA)
+    return notes.join(rows, F.col("object") == F.col("o")).select("object", "column_name", "comment", "object_rows")
+
+
 ROUNDTRIP_SCHEMA = "marketstar_roundtrip"
 
 
 def table_roundtrip(spark, sf_dir):
     """Overwrite ``dim_companies`` in the catalog, comment it, read it back."""
     star = _star(spark, sf_dir)
-    catalog.use_schema(spark, ROUNDTRIP_SCHEMA)
     name = catalog.qualified(ROUNDTRIP_SCHEMA, "dim_companies")
     fields, comment = K.schemas.TABLES["dim_companies"]
     location = scratch_path(spark, "roundtrip_dim_companies")
-    catalog.save_with_comments(spark, star.table("dim_companies"), name, fields, comment, location=location)
-    spark.sql("USE SCHEMA default")
+    with catalog.using_schema(spark, ROUNDTRIP_SCHEMA):
+        catalog.save_with_comments(spark, star.table("dim_companies"), name, fields, comment, location=location)
     return spark.table(name)
 
 
@@ -197,6 +319,22 @@ def registry() -> dict[str, QueryFn]:
             "m_measures": m_measures,
             "m_filters": m_filters,
             "m_run_metric": m_run_metric,
+            "m_synonyms": m_synonyms,
+            "q_latest_sector_outperformance": latest_sector_outperformance,
+            "q_latest_ytd_best": latest_ytd_best,
+            "companies_from_json": companies_from_json,
+            "profiles_rejected": profiles_rejected,
+            "tickers_without_bars": tickers_without_bars,
+            "prices_from_files": prices_from_files,
+            "prices_padded": prices_padded,
+            "index_from_files": index_from_files,
+            "index_repeated_days": index_repeated_days,
+            "index_quarantined": index_quarantined,
+            "financials_from_files": financials_from_files,
+            "indicators_from_panels": indicators_from_panels,
+            "sql_sector_volume": sql_sector_volume,
+            "preview_companies": preview_companies,
+            "catalog_comments": catalog_comments,
             "table_roundtrip": table_roundtrip,
         }
     )

@@ -25,11 +25,13 @@ from ..functions.exprs import (
     projection_flag,
     safe_pct,
     safe_ratio,
+    with_calendar_change,
     with_period_change,
 )
 from ..operators.quality import missing_keys, quarantined
 from ..operators.reshape import pivot_periods, unpivot_years
 from ..sources import landed, universe
+from ..sources.files import MALFORMED, NO_KEY
 from ..sources.tables import TableSource
 
 # ------------------------------------------------------------------ K1 / K2
@@ -87,15 +89,26 @@ def companies(raw_profiles: DataFrame) -> DataFrame:
     return raw_profiles.select(*cols)
 
 
-def profile_quarantine(raw_profiles: DataFrame, raw_prices: DataFrame, raw_statements: DataFrame) -> DataFrame:
-    """Failed profile fetches plus tickers with no bars / no income statement."""
+def profile_quarantine(
+    raw_profiles: DataFrame, raw_prices: DataFrame, raw_statements: DataFrame, checked: DataFrame | None = None
+) -> DataFrame:
+    """Failed profile fetches plus tickers with no bars / no income statement.
+
+    ``checked`` (see ``files.checked_records``) adds the landed records that
+    are none or have no ticker: ``(ticker, stage, error)`` with a NULL ticker,
+    one row per record.
+    """
     universe_keys = raw_profiles.select("ticker")
     income = raw_statements.where(F.col("statement") == "income")
-    return (
+    out = (
         quarantined(raw_profiles, "ticker", "fetch_error", "profile")
         .unionByName(missing_keys(universe_keys, raw_prices, "ticker", "prices", "no price rows"))
         .unionByName(missing_keys(universe_keys, income, "ticker", "statements", "no income statement"))
     )
+    if checked is not None:
+        lost = checked.where(F.col("record_error").isin(MALFORMED, NO_KEY)).select(F.lit(None).cast("string").alias("ticker"), F.lit("landing").alias("stage"), F.col("record_error").alias("error"))
+        out = out.unionByName(lost)
+    return out
 
 
 # ------------------------------------------------------------------ K4 / K5
@@ -106,8 +119,8 @@ _BAR_COLS = ["trade_date", "open_price", "high_price", "low_price", "close_price
 def stock_prices(raw_prices: DataFrame, pad: bool = False) -> DataFrame:
     """``fact_stock_prices``: bars plus the close-to-close return per ticker.
 
-    One hash exchange on ``ticker`` then a sort inside each partition; a
-    ticker holds at most one row per calendar day, so no window partition
+    Over bars bucketed by ticker there is no exchange, else one hash exchange
+    on ``ticker``; then a sort inside each partition.  A ticker holds at most one row per calendar day, so no window partition
     can grow with the data volume.
     """
     out = with_period_change(
@@ -116,15 +129,37 @@ def stock_prices(raw_prices: DataFrame, pad: bool = False) -> DataFrame:
     return out.select("ticker", *_BAR_COLS, "daily_return_pct")
 
 
-def benchmark(raw_index: DataFrame, pad: bool = False) -> DataFrame:
+def duplicate_days(raw_index: DataFrame) -> DataFrame:
+    """Days that several index rows claim: ``(trade_date, rows, lowest_close, highest_close)``."""
+    days = raw_index.groupBy("trade_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("close_price").alias("lowest_close"), F.max("close_price").alias("highest_close")
+    )
+    return days.where(F.col("rows") > 1)
+
+
+def one_row_per_day(raw_index: DataFrame, on_duplicate: str = "raise") -> DataFrame:
+    """The index with unique days: a day of several rows fails the query, or is left out (``"quarantine"``, see
+    :func:`duplicate_days`).  One hash aggregation; no row is chosen over another."""
+    if on_duplicate not in ("raise", "quarantine"):
+        raise ValueError(f"unknown rule {on_duplicate!r}")
+    values = [c for c in _BAR_COLS if c != "trade_date"]
+    days = raw_index.groupBy("trade_date").agg(F.count(F.lit(1)).alias("__rows"), *[F.first(c).alias(c) for c in values])
+    if on_duplicate == "quarantine":
+        return days.where(F.col("__rows") == 1).drop("__rows")
+    text = F.concat(F.lit("index has "), F.col("__rows").cast("string"), F.lit(" rows of day "), F.coalesce(F.col("trade_date").cast("string"), F.lit("NULL")))
+    day = F.when(F.col("__rows") == 1, F.col("trade_date")).otherwise(F.raise_error(text).cast("date"))
+    return days.select(day.alias("trade_date"), *values)
+
+
+def benchmark(raw_index: DataFrame, pad: bool = False, on_duplicate: str = "raise") -> DataFrame:
     """``fact_sp500_benchmark``: index bars plus daily return.
 
-    The window has no partition key, so Spark gathers it into one task.
-    Rows are first reduced to one per day (the one with the largest volume),
-    so that task's input is bounded by the calendar whatever is passed in.
+    One row per day is checked, not assumed.  The return looks at the previous
+    trading day inside its year, and across years through one row per year, so
+    no task holds the whole series.
     """
-    daily = raw_index.groupBy("trade_date").agg(F.max(F.struct("volume", *[c for c in _BAR_COLS if c not in ("volume", "trade_date")])).alias("bar")).select("trade_date", "bar.*")
-    out = with_period_change(daily, "close_price", "daily_return_pct", [], ["trade_date"], pad=pad, fill_first=0.0)
+    daily = one_row_per_day(raw_index, on_duplicate)
+    out = with_calendar_change(daily, "close_price", "daily_return_pct", "trade_date", pad=pad, fill_first=0.0)
     return out.select(*_BAR_COLS, "daily_return_pct")
 
 
@@ -346,6 +381,11 @@ class Star:
         self._tables = Lazy({n: (t if callable(t) else (lambda t=t: t)) for n, t in tables.items()})
         self.raw = raw if raw is not None else {}
 
+    @property
+    def clustered(self) -> int | None:
+        """Buckets by ticker that the price fact's rows come in, if they derive from staged bars."""
+        return self.raw["clustered"] if "clustered" in self.raw else None
+
     def __getattr__(self, name):
         if name in TABLE_NAMES:
             return self._tables[name]
@@ -367,26 +407,30 @@ _STAGE_LOCK = threading.Lock()
 
 
 def staged_bars(spark: SparkSession, src: TableSource) -> DataFrame:
-    """Daily bars written once per application and source folder, then scanned.
+    """Daily bars written once per session and source folder, then scanned.
 
-    Both price facts (tickers and index) derive from the bars; staging them
-    makes the line-item aggregation run once instead of once per consumer,
-    and the staged files live in the shared folder (``spark.checkpoint.dir``).
-    The driver tables are read-only, so a staged copy stays valid.
+    Prices, index and statements derive from the bars; staging them makes the
+    line-item aggregation run once instead of once per consumer.  They are
+    bucketed and sorted by ticker, so returns and yearly sums per ticker need
+    no further exchange.  The driver tables are read-only, so a staged copy
+    stays valid.
     """
-    from ..session import app_id, scratch_path  # local import: session is optional for pure plans
-    from .catalog import stage
+    from ..session import scratch_path, session_key  # local import: session is optional for pure plans
+    from .catalog import bucket_count, write_bucketed
 
-    key = (app_id(spark), src.root)
+    key = (session_key(spark), src.root)
     with _STAGE_LOCK:  # concurrent table builds wait for one staging job
         if key not in _STAGED_BARS:
-            flat = stage(landed.flatten_bars(landed.daily_bars(src)), scratch_path(spark, "daily_bars"))
-            _STAGED_BARS[key] = landed.nest_bars(flat)
+            buckets = bucket_count(src.lineitem.count())  # rows per file, from the files' footers
+            bars = landed.daily_bars(src).repartition(buckets, "ticker")
+            _STAGED_BARS[key] = write_bucketed(bars, "daily_bars", scratch_path(spark, "daily_bars"), buckets, ["ticker", "trade_date"])
         return _STAGED_BARS[key]
 
 
 def landed_inputs(spark: SparkSession, sf_dir: str, stage_bars: bool = True) -> dict[str, DataFrame]:
     """Landed raw inputs derived from the driver tables (lazy; bars optionally staged)."""
+    from .catalog import bucket_count
+
     src = TableSource(spark, sf_dir)
     raw = Lazy(
         {
@@ -396,6 +440,7 @@ def landed_inputs(spark: SparkSession, sf_dir: str, stage_bars: bool = True) ->
             "raw_index": lambda: landed.index_from_bars(raw["bars"]),
             "raw_statements": lambda: landed.raw_statements(src, raw["bars"]),
             "raw_panel": lambda: landed.raw_indicator_panel(src),
+            "clustered": lambda: bucket_count(src.lineitem.count()) if stage_bars else None,
         }
     )
     return raw

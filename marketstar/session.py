@@ -61,6 +61,18 @@ def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
 
 
+_SESSION_MARK = "spark.marketstar.session"
+
+
+def session_key(spark: SparkSession) -> str:
+    """A name for this session alone (plans kept for reuse belong to one session and its settings)."""
+    key = spark.conf.get(_SESSION_MARK, None)
+    if key is None:
+        key = uuid.uuid4().hex
+        spark.conf.set(_SESSION_MARK, key)
+    return key
+
+
 def _checkpoint_base(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or None
 

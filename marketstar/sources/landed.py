@@ -97,6 +97,50 @@ def raw_profiles(src: TableSource) -> DataFrame:
     )
 
 
+def profile_lines(src: TableSource) -> DataFrame:
+    """Profiles as JSON lines with the faults of a real landing: cut lines, a word where a number belongs, no ticker.
+
+    The ``k % m`` rules spoil records, they drop none: every supplier has a line.
+    """
+    k = F.regexp_extract("ticker", r"S(\d+)", 1).cast("bigint")
+    profiles = raw_profiles(src)
+    fields = [f for f in profiles.columns if f not in ("ticker", "market_cap")]
+    record = F.to_json(
+        F.struct(
+            F.when(~(k % 10 == 7), F.col("ticker")).alias("ticker"),
+            F.when(k % 9 == 5, F.lit("abc")).otherwise(F.col("market_cap").cast("string")).alias("market_cap"),
+            *fields,
+        )
+    )
+    return profiles.select(F.when(k % 9 == 4, F.substring(record, F.lit(1), F.length(record) - 3)).otherwise(record).alias("value"))
+
+
+def index_with_repeats(src_index: DataFrame) -> DataFrame:
+    """The index with a second, diverging row for the fifth of each month (a feed that sent a correction)."""
+    again = src_index.where(F.dayofmonth("trade_date") == 5).withColumn("close_price", F.col("close_price") + 1)
+    return src_index.unionByName(again)
+
+
+def prices_with_gaps(raw: DataFrame) -> DataFrame:
+    """Bars whose close is missing on the days of a month that 7 divides; no row is dropped."""
+    return raw.withColumn("close_price", _unless(F.dayofmonth("trade_date") % 7 == 0, F.col("close_price")))
+
+
+def statements_with_nan(raw: DataFrame) -> DataFrame:
+    """Statements whose missing revenue was landed as NaN, the way a feed writes "no figure"."""
+    k = F.regexp_extract("ticker", r"S(\d+)", 1).cast("bigint")
+    spoilt = (k % 6 == 1) & (F.col("line_item") == "Total Revenue")
+    return raw.withColumn("value", F.when(spoilt, F.lit(float("nan"))).otherwise(F.col("value")))
+
+
+def panel_halves(wide: DataFrame, years: tuple[int, ...] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The panel as two deliveries: even nations with all years in order, odd ones without the first year and reversed."""
+    years = [str(y) for y in (years or PANEL_YEARS)]
+    ids = [c for c in wide.columns if c not in years]
+    even = F.substring("ISO", 2, 9).cast("int") % 2 == 0
+    return wide.where(even).select(*ids, *years), wide.where(~even).select(*reversed(ids), *reversed(years[1:]))
+
+
 def raw_universe_nested(src: TableSource) -> DataFrame:
     """The ticker universe landed as nested records ``{sector: {ticker: name}}``.
 
@@ -114,87 +158,90 @@ def raw_universe_nested(src: TableSource) -> DataFrame:
     )
 
 
-def _line_key() -> Column:
-    """Total order of line items inside a day; the trailing price rides along.
+#: Digits of each field in a packed line key, most significant first: 38 in all.
+LINE_KEY_DIGITS = {"l_orderkey": 13, "l_linenumber": 2, "l_partkey": 11, "l_extendedprice": 9, "l_quantity": 3}
+
 
-    ``(orderkey, linenumber)`` repeats in the driver data; the five-field
-    prefix is unique, so ``min``/``max`` of this struct pick exactly one line.
+def _line_key() -> Column:
+    """Total order of line items inside a day as one ``decimal(38,0)``; the line's price and quantity ride along.
+
+    ``(orderkey, linenumber)`` repeats in the driver data; with part, price (in
+    cents) and quantity behind them the key is unique, so its minimum and
+    maximum are exactly one line each.  A decimal is a fixed-width aggregation
+    buffer: ``min``/``max`` of it run as a hash aggregation with map-side
+    combine, where a struct would sort every line item.  A value that does not
+    fit its digits fails the query instead of changing the order; a line with a
+    missing field has no key.
     """
-    unit = F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))
-    return F.struct(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", unit.alias("px")
-    )
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    parts = {
+        "l_orderkey": (F.col("l_orderkey"), F.lit(True)),
+        "l_linenumber": (F.col("l_linenumber").cast("bigint"), F.lit(True)),
+        "l_partkey": (F.col("l_partkey"), F.lit(True)),
+        "l_extendedprice": (cents, cents / F.lit(100.0) == F.col("l_extendedprice")),
+        "l_quantity": (F.col("l_quantity").cast("bigint"), F.floor("l_quantity") == F.col("l_quantity")),
+    }
+    fits, key, below = F.lit(True), None, 0
+    for name, digits in reversed(LINE_KEY_DIGITS.items()):
+        value, exact = parts[name]
+        fits = fits & exact & value.between(0, 10**digits - 1)
+        term = value.cast(f"decimal({digits},0)") * F.lit(str(10**below)).cast(f"decimal({below + 1},0)")
+        key = term if key is None else (key + term).cast("decimal(38,0)")
+        below += digits
+    wrong = F.raise_error(F.concat(F.lit("line item does not fit the packed line key: "), F.to_json(F.struct(*LINE_KEY_DIGITS))))
+    return F.when(fits, key).when(~fits, wrong.cast("decimal(38,0)"))
+
+
+def _line_price(key: str) -> Column:
+    """Unit price of the line in a packed key: price over quantity, NULL for no quantity."""
+    quantity = 10 ** LINE_KEY_DIGITS["l_quantity"]
+    tail = (F.col(key) % F.lit(quantity * 10 ** LINE_KEY_DIGITS["l_extendedprice"])).cast("bigint")
+    return F.floor(tail / quantity) / F.lit(100.0) / F.nullif((tail % quantity).cast("double"), F.lit(0.0))
 
 
-def daily_bars(src: TableSource, start: str | None = None, end: str | None = None) -> DataFrame:
+def daily_bars(src: TableSource, start: Column | str | None = None, end: Column | str | None = None) -> DataFrame:
     """OHLCV per supplier and ship day, plus the first/last line keys.
 
-    ``start``/``end`` (ISO dates, end exclusive) filter ``l_shipdate`` itself
-    so the range reaches the parquet scan as a pushed filter.
+    ``start``/``end`` (ISO dates or foldable date expressions, end exclusive)
+    filter ``l_shipdate`` itself so the range reaches the parquet scan as a
+    pushed filter.
     """
     # A bar needs a listing; an explicit key check also lets Catalyst fold the
     # null test it infers for the derived ticker, and reaches the scan.
     li = src.lineitem.where(F.col("l_suppkey").isNotNull())
+    day = lambda d: (F.lit(d) if isinstance(d, str) else d).cast("timestamp_ntz")
     if start is not None:
-        li = li.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
+        li = li.where(F.col("l_shipdate") >= day(start))
     if end is not None:
-        li = li.where(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
+        li = li.where(F.col("l_shipdate") < day(end))
     unit = F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))
     key = _line_key()
-    return li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("trade_date")).agg(
-        F.min(key).alias("first_line"),
-        F.max(unit).alias("high_price"),
-        F.min(unit).alias("low_price"),
-        F.max(key).alias("last_line"),
-        F.sum("l_quantity").cast("bigint").alias("volume"),
-        # Additive day totals, so yearly statements roll up from the bars
-        # instead of scanning the line items a second time.
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("day_revenue"),
-        F.sum("l_quantity").alias("day_quantity"),
-        F.count(F.lit(1)).alias("day_lines"),
-    )
-
-
-_LINE_FIELDS = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "px")
-_DAY_TOTALS = ("day_revenue", "day_quantity", "day_lines")
-
-
-def flatten_bars(bars: DataFrame) -> DataFrame:
-    """Bars with the two line-key structs spread into plain columns (for storage)."""
-    return bars.select(
-        "l_suppkey",
-        "trade_date",
-        *[F.col(f"first_line.{f}").alias(f"first_{f}") for f in _LINE_FIELDS],
-        "high_price",
-        "low_price",
-        *[F.col(f"last_line.{f}").alias(f"last_{f}") for f in _LINE_FIELDS],
-        "volume",
-        *_DAY_TOTALS,
-    )
-
-
-def nest_bars(flat: DataFrame) -> DataFrame:
-    """Inverse of :func:`flatten_bars` (a projection Catalyst folds into field reads)."""
-    return flat.select(
-        "l_suppkey",
-        "trade_date",
-        F.struct(*[F.col(f"first_{f}").alias(f) for f in _LINE_FIELDS]).alias("first_line"),
-        "high_price",
-        "low_price",
-        F.struct(*[F.col(f"last_{f}").alias(f) for f in _LINE_FIELDS]).alias("last_line"),
-        "volume",
-        *_DAY_TOTALS,
+    return (
+        li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("trade_date"))
+        .agg(
+            F.min(key).alias("first_line"),
+            F.max(unit).alias("high_price"),
+            F.min(unit).alias("low_price"),
+            F.max(key).alias("last_line"),
+            F.sum("l_quantity").cast("bigint").alias("volume"),
+            # Additive day totals, so yearly statements roll up from the bars
+            # instead of scanning the line items a second time.
+            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("day_revenue"),
+            F.sum("l_quantity").alias("day_quantity"),
+            F.count(F.lit(1)).alias("day_lines"),
+        )
+        .withColumn("ticker", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
     )
 
 
 def prices_from_bars(bars: DataFrame) -> DataFrame:
     return bars.select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
+        "ticker",
         "trade_date",
-        F.col("first_line.px").alias("open_price"),
+        _line_price("first_line").alias("open_price"),
         "high_price",
         "low_price",
-        F.col("last_line.px").alias("close_price"),
+        _line_price("last_line").alias("close_price"),
         "volume",
     )
 
@@ -205,22 +252,23 @@ def index_from_bars(bars: DataFrame) -> DataFrame:
     The first line of a day is the smallest first line over suppliers (same
     for last/max), so this equals a direct aggregation of all line items.
     """
-    return bars.groupBy("trade_date").agg(
-        F.min("first_line").px.alias("open_price"),
+    days = bars.groupBy("trade_date").agg(
+        F.min("first_line").alias("first_line"),
         F.max("high_price").alias("high_price"),
         F.min("low_price").alias("low_price"),
-        F.max("last_line").px.alias("close_price"),
+        F.max("last_line").alias("last_line"),
         # Cast the day's total once (summing per-supplier truncated volumes
         # would only be exact for whole quantities).
         F.sum("day_quantity").cast("bigint").alias("volume"),
     )
+    return days.select("trade_date", _line_price("first_line").alias("open_price"), "high_price", "low_price", _line_price("last_line").alias("close_price"), "volume")
 
 
-def raw_prices(src: TableSource, start: str | None = None, end: str | None = None) -> DataFrame:
+def raw_prices(src: TableSource, start: Column | str | None = None, end: Column | str | None = None) -> DataFrame:
     return prices_from_bars(daily_bars(src, start, end))
 
 
-def raw_index(src: TableSource, start: str | None = None, end: str | None = None) -> DataFrame:
+def raw_index(src: TableSource, start: Column | str | None = None, end: Column | str | None = None) -> DataFrame:
     return index_from_bars(daily_bars(src, start, end))
 
 
@@ -231,7 +279,8 @@ def statement_base(bars: DataFrame) -> DataFrame:
     sums, so rolling days up to years equals aggregating the line items
     directly, at the cost of one small aggregation over the bars.
     """
-    return bars.groupBy(F.col("l_suppkey").alias("k"), F.year("trade_date").alias("y")).agg(
+    # the ticker is the supplier's; as a key it lets bars that are bucketed by it be summed where they are
+    return bars.groupBy("ticker", F.col("l_suppkey").alias("k"), F.year("trade_date").alias("y")).agg(
         F.sum("day_revenue").cast("double").alias("rev"),
         F.sum("day_quantity").alias("qty"),
         F.sum("day_lines").alias("n"),
@@ -267,7 +316,7 @@ def statements_from_base(base: DataFrame) -> DataFrame:
         "Operating Cash Flow": rev - qty * F.lit(13e2),
     }
     wide = base.select(
-        F.concat(F.lit("S"), k.cast("string")).alias("ticker"),
+        "ticker",
         F.make_date(y, F.lit(12), F.lit(31)).alias("period_end"),
         *[c.cast("double").alias(name) for name, c in items.items()],
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import app_id
+from ..session import session_key
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -29,10 +29,10 @@ class TableSource:
     def __call__(self, name: str) -> DataFrame:
         if name not in DRIVER_TABLES:
             raise KeyError(f"unknown table {name!r}")
-        # One scan node per (application, folder, table): file listing and the
+        # One scan node per (session, folder, table): file listing and the
         # footer/schema read happen once, not once per query.  The driver
         # tables are read-only, so the shared scan stays valid.
-        key = (app_id(self.spark), self.root, name)
+        key = (session_key(self.spark), self.root, name)
         if key not in _SCANS:
             _SCANS[key] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return _SCANS[key]

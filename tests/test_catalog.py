@@ -77,9 +77,9 @@ def test_sql_over_registered_views_matches_dataframe_query(spark, sf_small):
     V.register_temp_views(spark, star)
     sql = """
         SELECT sector,
-               CAST(ROUND(CAST(AVG(stock_daily_return_pct) AS DECIMAL(28,8)), 4) AS DOUBLE) AS avg_sector_return,
-               CAST(ROUND(CAST(AVG(sp500_daily_return_pct) AS DECIMAL(28,8)), 4) AS DOUBLE) AS avg_sp500_return,
-               CAST(ROUND(CAST(AVG(excess_return_pct) AS DECIMAL(28,8)), 4) AS DOUBLE) AS avg_excess_return,
+               CAST(ROUND(CAST(AVG(stock_daily_return_pct) AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_sector_return,
+               CAST(ROUND(CAST(AVG(sp500_daily_return_pct) AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_sp500_return,
+               CAST(ROUND(CAST(AVG(excess_return_pct) AS DECIMAL(38,12)), 4) AS DOUBLE) AS avg_excess_return,
                COUNT(DISTINCT ticker) AS stocks
         FROM vw_stock_vs_benchmark
         WHERE trade_year = YEAR(CAST(:as_of AS DATE))
@@ -100,3 +100,20 @@ def test_load_job(spark, sf_small):
     n = spark.sql("SELECT COUNT(*) FROM `ms_test_job`.`vw_economic_overview`").first()[0]
     assert n == 542
     spark.sql("USE SCHEMA default")
+
+
+def test_comments_as_rows_and_schema_kept(spark, sf_small):
+    from marketstar.plans.registry import registry
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS ms_test_current")
+    spark.sql("USE SCHEMA ms_test_current")
+    try:
+        registry()["table_roundtrip"](spark, sf_small)
+        rows = {(r.object, r.column_name): (r.comment, r.object_rows) for r in registry()["catalog_comments"](spark, sf_small).collect()}
+        assert spark.catalog.currentDatabase() == "ms_test_current"
+    finally:
+        spark.sql("USE SCHEMA default")
+    assert rows["vw_economic_overview", None] == (catalog.VIEW_COMMENTS["vw_economic_overview"], 542)
+    assert rows["fact_stock_prices", "close_price"][0].startswith("Last trade price") and rows["fact_stock_prices", "trade_year"][0] is None
+    catalog.write_table(spark.range(2), "`ms_test_current`.`plain`", location=scratch_path(spark, "plain"))
+    assert ("plain", "id", None) in set(map(tuple, catalog.comments(spark, "ms_test_current").collect()))

@@ -27,6 +27,21 @@ def star(other, sf_small):
     return star_from_driver(other, sf_small)
 
 
+def test_plans_kept_for_reuse_belong_to_one_session(spark, other, sf_small):
+    """Neither scans nor staged or published tables of one session are handed to another."""
+    from marketstar.plans.registry import _star
+    from marketstar.session import session_key
+    from marketstar.sources.tables import TableSource
+
+    assert session_key(spark) == session_key(spark) != session_key(other)
+    assert TableSource(other, sf_small)("orders").sparkSession is other
+    assert TableSource(spark, sf_small)("orders").sparkSession is spark
+    mine, theirs = _star(spark, sf_small), _star(other, sf_small)
+    assert mine is _star(spark, sf_small) and mine is not theirs
+    assert theirs.fact_stock_prices.sparkSession.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
+    assert mine.fact_stock_prices.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_same_answer_in_other_time_zone_without_ansi(star, sf_small, name):
     r = compare(QUERIES[name](star, DEFAULT), duck(sf_small), E.oracle_sql()[name])

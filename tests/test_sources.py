@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from marketstar import schemas
 from marketstar.plans import star as K
 from marketstar.session import scratch_path
@@ -78,13 +80,16 @@ def test_landed_file_readers_roundtrip(spark, sf_small):
     assert fin_a.count() == 70
 
 
-def test_params_default_to_today():
+def test_params_default_to_today(spark):
     import datetime as dt
 
     from marketstar.plans.queries import DEFAULT, Params
 
-    assert Params().this_year == dt.date.today().year
-    assert DEFAULT.this_year == 2000
+    today, year, pinned = spark.range(1).select(Params().day, Params().year, DEFAULT.year).first()
+    assert abs((today - dt.datetime.now(dt.timezone.utc).date()).days) <= 1 and year == today.year and pinned == 2000
+    assert DEFAULT.as_of_date == dt.date(2000, 12, 31)
+    with pytest.raises(ValueError):
+        Params().as_of_date
 
 
 def test_nan_becomes_null_on_ingest(spark):
@@ -120,7 +125,81 @@ def test_star_from_landed_files_equals_driver_star(spark, sf_small):
 
 
 def test_params_latest_anchor(spark, sf_small):
+    import datetime as dt
+
     from marketstar.plans.queries import Params
 
     p = Params.latest(K.star_from_driver(spark, sf_small), ticker="S2")
-    assert p.as_of == "2001-11-04" and p.this_year == 2001 and p.ticker == "S2"
+    assert tuple(spark.range(1).select(p.day, p.year).first()) == (dt.date(2001, 11, 4), 2001) and p.ticker == "S2"
+
+
+def _lines(spark, name, lines):
+    path = scratch_path(spark, name)
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_malformed_and_uncast_records(spark):
+    path = _lines(
+        spark,
+        "bad_profiles",
+        [
+            '{"ticker": "AAA", "company_name": "A", "curated_sector": "Energy", "market_cap": 2.5e11, "employees": 12.0, "beta": NaN}',
+            '{"ticker": "BBB", "company_name": "B", "curated_sector": "Energy", "market_cap": "abc", "employees": "many"}',
+            '{"ticker": "CCC", "company_name": ',
+            '{"company_name": "no ticker", "curated_sector": "Energy"}',
+            '{"ticker": " ", "curated_sector": "Energy"}',
+            "not json at all",
+            '{"ticker": "DDD", "curated_sector": "Energy", "fetch_error": "timeout", "market_cap": ""}',
+        ],
+    )
+    profiles, checked = files.read_checked_profiles(spark, path)
+    assert checked.count() == 7
+    assert profiles.schema.names == schemas.RAW_PROFILES.names
+    got = {r.ticker: r for r in K.companies(profiles).collect()}
+    assert set(got) == {"AAA", "BBB", "DDD"}  # no company without a ticker
+    assert got["AAA"].market_cap == 2.5e11 and got["AAA"].employees == 12 and got["AAA"].beta == 0.0
+    assert got["BBB"].sector == "Energy" and got["BBB"].market_cap == 0.0 and got["BBB"].industry == "Unknown"
+    none = spark.createDataFrame([], schemas.RAW_PRICES)
+    some = spark.createDataFrame([("AAA", "income", None, "Net Income", 1.0), ("BBB", "income", None, "EBIT", 1.0)], schemas.RAW_STATEMENTS)
+    bars = spark.createDataFrame([("AAA", None, 1.0, 1.0, 1.0, 1.0, 1), ("DDD", None, 1.0, 1.0, 1.0, 1.0, 1)], schemas.RAW_PRICES)
+    rows = sorted((str(t), s, e) for t, s, e in K.profile_quarantine(profiles, bars, some, checked).collect())
+    assert rows == [
+        ("BBB", "prices", "no price rows"),
+        ("BBB", "profile", "market_cap is no double: abc; employees is no bigint: many"),
+        ("DDD", "profile", "timeout"),
+        ("DDD", "statements", "no income statement"),
+        ("None", "landing", "malformed record"),
+        ("None", "landing", "malformed record"),
+        ("None", "landing", "no key"),
+        ("None", "landing", "no key"),
+    ]
+    assert K.profile_quarantine(profiles, none, some).where("stage = 'prices'").count() == 3
+
+
+def test_empty_landing_has_no_records(spark):
+    profiles, checked = files.read_checked_profiles(spark, _lines(spark, "no_profiles", []))
+    assert profiles.count() == checked.count() == 0
+
+
+def test_panels_of_different_headers_unite_by_name(spark):
+    path = scratch_path(spark, "panels")
+    ids = "ISO\tCountry\tWEO Subject Code\tEstimates Start After"
+    for name, lines in {
+        "a": [ids + "\t2015\t2016", "AAA\tA land\tX\t2019\t1.5\t2,000.25", 'AAB\t"B\tland"\tX\t\tn/a\t7'],
+        "b": ["2016\t2020\t" + ids, "9\t--\tCCC\tC land\tX\t2019", "", "8\t4\tCCD\tD land\tX\t2019", "2016\t2020\t" + ids],
+        "c": [ids],
+    }.items():
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{path}/{name}")
+    columns = [*K.WIDE_ID_COLUMNS, "2015", "2016", "2018", "2020"]
+    got = files.read_panels(spark, f"{path}/*", columns)
+    assert got.columns == columns
+    assert sorted(map(tuple, got.collect())) == [
+        ("AAA", "A land", "X", "2019", "1.5", "2,000.25", None, None),
+        ("AAB", "B\tland", "X", None, "n/a", "7", None, None),
+        ("CCC", "C land", "X", "2019", None, "9", None, "--"),
+        ("CCD", "D land", "X", "2019", None, "8", None, "4"),
+    ]
+    spec = K.IndicatorSpec(codes={"X": "x"}, countries=("A land", "C land"))
+    long = K.indicators(got, spec).orderBy("country_code", "year").collect()
+    assert [(r.country_code, r.year, r.value, r.is_projection) for r in long] == [("AAA", 2015, 1.5, "N"), ("AAA", 2016, 2000.25, "N"), ("CCC", 2016, 9.0, "N")]

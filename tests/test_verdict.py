@@ -45,12 +45,41 @@ def test_rounding_never_aborts(spark):
     assert got["big"] == pytest.approx(1e30) and got["wide"] == 1e21 and got["tie"] == 1.01
 
 
-def test_index_rows_reduce_to_one_a_day(spark):
+INDEX = "trade_date date, open_price double, high_price double, low_price double, close_price double, volume bigint"
+
+
+def _index(spark, closes):
+    return spark.createDataFrame([(d, 1.0, 2.0, 1.0, c, 10) for d, c in closes], INDEX)
+
+
+def test_index_rows_of_one_day_fail_or_are_set_apart(spark):
     d = dt.date(2020, 1, 2)
-    bars = [(d, 1.0, 2.0, 1.0, 5.0, 10), (d, 1.0, 2.0, 1.0, 7.0, 20), (dt.date(2020, 1, 3), 1.0, 2.0, 1.0, 14.0, 5)]
-    raw = spark.createDataFrame(bars, "trade_date date, open_price double, high_price double, low_price double, close_price double, volume bigint")
-    got = star.benchmark(raw).orderBy("trade_date").collect()
-    assert [(r["close_price"], r["daily_return_pct"]) for r in got] == [(7.0, 0.0), (14.0, 100.0)]
+    raw = _index(spark, [(d, 10.0), (d, 900.0), (dt.date(2020, 1, 3), 11.0), (dt.date(2019, 12, 31), 10.0)])
+    with pytest.raises(Exception, match="index has 2 rows of day 2020-01-02"):
+        star.benchmark(raw).collect()
+    got = star.benchmark(raw, on_duplicate="quarantine").orderBy("trade_date").collect()
+    assert [(r["close_price"], round(r["daily_return_pct"], 6)) for r in got] == [(10.0, 0.0), (11.0, 10.0)]
+    assert [tuple(r) for r in star.duplicate_days(raw).collect()] == [(d, 2, 10.0, 900.0)]
+    with pytest.raises(ValueError):
+        star.benchmark(raw, on_duplicate="pick one")
+
+
+@pytest.mark.parametrize("pad", [False, True])
+def test_returns_across_years_equal_one_window(spark, pad):
+    from marketstar.functions.exprs import with_calendar_change, with_period_change
+
+    days = [dt.date(2018, 12, 28), dt.date(2018, 12, 31), dt.date(2019, 6, 3), dt.date(2021, 1, 4), dt.date(2021, 1, 5), dt.date(2022, 3, 1), dt.date(2023, 3, 1)]
+    raw = _index(spark, list(zip(days, [None, 10.0, None, None, 12.0, 0.0, 5.0])))
+    ranged = with_calendar_change(raw, "close_price", "r", "trade_date", pad=pad, fill_first=0.0)
+    whole = with_period_change(raw, "close_price", "r", [], ["trade_date"], pad=pad, fill_first=0.0)
+    assert sorted(map(tuple, ranged.collect())) == sorted(map(tuple, whole.collect()))
+    assert [r["r"] for r in ranged.orderBy("trade_date").collect()] == pytest.approx([0, 0, 0, 0, 20, -100, 0] if pad else [0, 0, 0, 0, 0, -100, 0])
+
+
+def test_rounding_looks_at_the_value_as_written(spark):
+    values = [(0.123449999996, 4, 0.1234), (0.12345, 4, 0.1235), (2.675, 2, 2.68), (-2.675, 2, -2.68), (1e-9, 2, 0.0), (0.1 + 0.2, 2, 0.3)]
+    got = spark.range(1).select(*[R(F.lit(x), n).alias(f"c{i}") for i, (x, n, _) in enumerate(values)]).first()
+    assert list(got) == [want for _, _, want in values]
 
 
 def test_shared_folder_fails_closed():
