@@ -86,7 +86,7 @@ def shared_ends(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.nd
     return (np.concatenate(in_a), np.concatenate(in_b)) if in_a else (none, none)
 
 
-def _byte_of_character() -> dict[str, int]:
+def byte_of_character() -> dict[str, int]:
     """The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     other = [b for b in range(256) if b not in set(plain)]
@@ -123,7 +123,7 @@ class Aligner:
         from tokenizers import Tokenizer
 
         # tiktoken works off the file's vocabulary as ranks: the same ids, which the tests hold against the file's own tokenizer
-        byte, own = _byte_of_character(), Tokenizer.from_file(path_a)
+        byte, own = byte_of_character(), Tokenizer.from_file(path_a)
         vocabulary = own.get_vocab()
         special = {t.content for t in own.get_added_tokens_decoder().values()}
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
