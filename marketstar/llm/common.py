@@ -28,6 +28,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a broadcast side, at most; a larger one is joined by a shuffle.
+FEW_ROWS = 100_000
+
+
+def beside(df: DataFrame) -> DataFrame | None:
+    """A small side of a join, counted first: None if it has no row, marked for broadcast if it has ``FEW_ROWS`` at most."""
+    n = df.limit(FEW_ROWS + 1).count()
+    if not n:
+        return None
+    return F.broadcast(df) if n <= FEW_ROWS else df
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also where ``body`` uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]
@@ -67,4 +79,5 @@ def importable(spark: SparkSession) -> SparkSession:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    env.setdefault("OMP_NUM_THREADS", "1")  # a task has one core: its matrix products start no threads of their own
     return spark

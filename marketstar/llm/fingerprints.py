@@ -23,7 +23,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketstar.llm.common import let
+from marketstar.llm.common import beside, let
 
 BINS = 256
 BITS = 4
@@ -158,10 +158,10 @@ def deal(rows: DataFrame, bytes_per_bucket: int = 1_000_000) -> DataFrame:
     here = F.struct(F.col("__bucket").alias("b"), F.lit(False).alias("guest"))
     there = F.struct(F.col("__before").alias("b"), F.lit(True).alias("guest"))
     places = F.when(is_first, F.array(here, there)).otherwise(F.array(here))
-    same = rows.groupBy("__ord", "__tie").agg(F.count("*").alias("__same")).where(F.col("__same") > _SAME)
-    if same.limit(1).count():
-        # one row in _SAME of three numbers, at most; about _SAME copies stay in the order, the last of them before the next row
-        rows = rows.join(F.broadcast(same), ["__ord", "__tie"], "left").withColumn("__spare", F.coalesce(F.rand(5) * F.col("__same") > _SAME, F.lit(False)))
+    same = beside(rows.groupBy("__ord", "__tie").agg(F.count("*").alias("__same")).where(F.col("__same") > _SAME))
+    if same is not None:
+        # about _SAME copies stay in the order, the last of them before the next row
+        rows = rows.join(same, ["__ord", "__tie"], "left").withColumn("__spare", F.coalesce(F.rand(5) * F.col("__same") > _SAME, F.lit(False)))
         aside = F.struct((-1 - F.floor(F.rand(6) * count)).cast("int").alias("b"), F.lit(False).alias("guest"))
         places = F.when(F.col("__spare"), F.array(aside)).otherwise(places)
         rows = rows.drop("__same")

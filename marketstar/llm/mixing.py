@@ -27,11 +27,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketstar.llm.common import checkpointed, staged, word_count
+from marketstar.llm.common import beside, checkpointed, staged, word_count
 
 OUTPUTS = ("size", "source_size", "target", "rate", "copies", "taken")
 _KEY = ["src", "no_src"]
-_BUCKET = ["bucket", "alike", "part"]
+BUCKET = ["bucket", "alike", "part"]
 _IN_BUCKET = 2048
 _SCALE = 256.0
 _REPS = 8
@@ -66,7 +66,7 @@ def _rate(lam: Column, x: Column, cap: float) -> Column:
     return F.lit(cap) / (1.0 + F.lit(cap - 1.0) * F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -lam * x))))
 
 
-def balance(hist: DataFrame, targets: DataFrame, cap: float, max_steps: int = 60) -> DataFrame:
+def balance(hist: DataFrame, targets: DataFrame, cap: float, max_steps: int = 200) -> DataFrame:
     """Solves every source's dual by safeguarded Newton steps; ``lam`` is null where the target is the cap itself."""
     state = targets.withColumns(
         {
@@ -105,8 +105,8 @@ def balance(hist: DataFrame, targets: DataFrame, cap: float, max_steps: int = 60
             .select(*_KEY, "source_size", "n_docs", "target", "mean", "lam", F.col("lo2").alias("lo"), F.col("hi2").alias("hi"), "miss")
         )
         if not (state.agg(F.max("miss").alias("m")).first()["m"] or 0) > 0:
-            break
-    return state
+            return state
+    raise RuntimeError(f"the dual is not solved after {max_steps} steps")
 
 
 def cell_copies(hist: DataFrame, state: DataFrame, cap: int) -> DataFrame:
@@ -144,7 +144,7 @@ def cell_copies(hist: DataFrame, state: DataFrame, cap: int) -> DataFrame:
 
 
 def in_buckets(rows: DataFrame, total: int) -> DataFrame:
-    """``rows`` (id, text_key, salt) with the columns of ``_BUCKET``: about ``_IN_BUCKET`` rows share them.
+    """``rows`` (id, text_key, salt) with the columns of ``BUCKET``: about ``_IN_BUCKET`` rows share them.
 
     More rows of one id and text than that are alike; they come after all others, in parts of their own by salt.
     """
@@ -152,14 +152,13 @@ def in_buckets(rows: DataFrame, total: int) -> DataFrame:
     key = F.xxhash64("id", "text_key")
     plain = {"bucket": F.pmod(key, F.lit(buckets)), "alike": F.lit(0).cast("long"), "part": F.lit(0).cast("long")}
     rows = rows.withColumn("key", key)
-    many = rows.groupBy("key").agg(F.count("*").alias("same")).where(F.col("same") > _IN_BUCKET)
-    if not many.limit(1).count():
+    many = beside(rows.groupBy("key").agg(F.count("*").alias("same")).where(F.col("same") > _IN_BUCKET))
+    if many is None:
         return rows.withColumns(plain).drop("key", "salt")
-    # at most one row in _IN_BUCKET, of two numbers
     part = F.pmod("salt", F.ceil(F.col("same") / F.lit(_IN_BUCKET))).cast("long")
     hot = {"bucket": F.lit(buckets), "alike": F.col("key"), "part": part}
-    mixed = {c: F.when(F.col("same").isNotNull(), hot[c]).otherwise(plain[c]).cast("long") for c in _BUCKET}
-    return rows.join(F.broadcast(many), "key", "left").withColumns(mixed).drop("key", "salt", "same")
+    mixed = {c: F.when(F.col("same").isNotNull(), hot[c]).otherwise(plain[c]).cast("long") for c in BUCKET}
+    return rows.join(many, "key", "left").withColumns(mixed).drop("key", "salt", "same")
 
 
 def mix_documents(
@@ -195,17 +194,17 @@ def mix_documents(
 
     total = hist.agg(F.sum("n").alias("n")).first()["n"] or 0
     rows = in_buckets(rows, total)
-    before = Window.partitionBy(*_KEY, "size").orderBy(*_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*_KEY, "size").orderBy(*BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*_KEY, "size", *_BUCKET)
+        rows.groupBy(*_KEY, "size", *BUCKET)
         .agg(F.count("*").alias("in_bucket"))
         .withColumn("offset", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
         .join(cells, [*_KEY, "size"])
         .drop("in_bucket")
     )
-    rank = F.col("offset") + F.row_number().over(Window.partitionBy(*_KEY, "size", *_BUCKET).orderBy("id", "text_key"))
+    rank = F.col("offset") + F.row_number().over(Window.partitionBy(*_KEY, "size", *BUCKET).orderBy("id", "text_key"))
     out = (
-        rows.join(offsets, [*_KEY, "size", *_BUCKET])
+        rows.join(offsets, [*_KEY, "size", *BUCKET])
         .withColumn("rank", rank)
         .withColumn("copies", F.expr("(rank * m) div n - ((rank - 1) * m) div n").cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))

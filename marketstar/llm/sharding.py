@@ -11,9 +11,12 @@ is left.  Going back down, the permutations give each group its shard.
 Sums and permutations travel, never members: the driver sees counts alone, a
 task one block, and the last level one block of vectors.
 
-Defined cases: null text has 0 bytes and all null texts form one group; an
-empty table gives an empty result; repeated rows are documents of their own;
-a group larger than a shard's share stays whole, in the lightest shard.
+Defined cases: a null text is the empty one (0 bytes, one group with the empty
+texts); an empty table gives an empty result; repeated rows are documents of
+their own, and many equal rows (a hot id) are spread over windows; ties go by
+group and id; texts count whole, whatever their length; a group larger than an
+equal share has a shard to itself, and differencing balances the others; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketstar.llm.common import staged, utf8_bytes
+from marketstar.llm.mixing import BUCKET, in_buckets
 
 BLOCK = 2048
 
@@ -124,35 +128,43 @@ def shard_groups(groups: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
 def shard_documents(docs: DataFrame, k: int = 24, block: int = BLOCK) -> DataFrame:
     """Shard and slot of every document; shards have near-equal bytes and equal texts stay together.
 
-    Returns doc_id, size, text_crc32, law, shard, slot, grown_shard and text_group (the text's SHA-256, null for
-    null text).
+    Returns doc_id, size, text_crc32, law, shard, slot, grown_shard and text_group (the text's SHA-256).
     """
     rows = staged(
         docs.select(
             "doc_id",
             (utf8_bytes(F.col("text")) + 8).alias("size"),
             F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-            F.coalesce(F.sha2("text", 256), F.lit("")).alias("group"),
+            F.sha2(F.coalesce("text", F.lit("")), 256).alias("group"),
+            F.monotonically_increasing_id().alias("salt"),  # written, so all later passes see the same
         ),
         "shard_rows",
     )
-    groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    shards = shard_groups(groups, k, block)
-    total = rows.count()
-    buckets = max(16, -(-total // (k * 256)))
-    placed = staged(
-        rows.join(shards, "group").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "group"), F.lit(buckets))), "shard_placed"
-    )
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    groups = staged(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard_groups")
+    own, left = [], groups.agg(F.sum("bytes").alias("n")).first()["n"] or 0
+    # fewer than k groups can each exceed a k-th of all bytes: only these are looked at
+    for g in groups.where(F.col("bytes") * k > left).orderBy(F.desc("bytes"), "group").collect():
+        if g["bytes"] * (k - len(own)) <= left:
+            break
+        own.append(g["group"])
+        left -= g["bytes"]
+    shards = shard_groups(groups.where(~F.col("group").isin(own)), k - len(own), block).withColumn("shard", F.col("shard") + len(own))
+    if own:
+        places = F.create_map(*[F.lit(x) for pair in zip(own, range(len(own)), strict=True) for x in pair])
+        shards = shards.unionByName(groups.where(F.col("group").isin(own)).select("group", places[F.col("group")].alias("shard")))
+    keyed = rows.join(shards, "group").withColumns({"id": F.col("doc_id"), "text_key": F.xxhash64("group")})
+    # rows of one id and text are alike: which of them takes which slot makes no difference, so many of them are split
+    placed = staged(in_buckets(keyed, -(-rows.count() // k)), "shard_placed")
+    before = Window.partitionBy("shard").orderBy(*BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("shard", "bucket").agg(F.count("*").alias("c")).select("shard", "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("offset"))
+        placed.groupBy("shard", *BUCKET).agg(F.count("*").alias("c")).select("shard", *BUCKET, F.coalesce(F.sum("c").over(before), F.lit(0)).alias("offset"))
     )
-    rank = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("doc_id", "group")) - 1
+    rank = F.row_number().over(Window.partitionBy("shard", *BUCKET).orderBy("doc_id", "group")) - 1
     return (
-        placed.join(offsets, ["shard", "bucket"])
+        placed.join(offsets, ["shard", *BUCKET])
         .withColumn("slot", (F.col("offset") + rank).cast("long"))
         .select(
             "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
-            F.lit(None).cast("int").alias("grown_shard"), F.nullif("group", F.lit("")).alias("text_group"),
+            F.lit(None).cast("int").alias("grown_shard"), F.col("group").alias("text_group"),
         )
     )

@@ -31,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketstar.llm.common import staged
 from marketstar.llm.text import U64, Chunk, Words, chunks, mix64, rows_at, run_hashes, word_hashes, words
 
 MINIMISER = 4
@@ -65,6 +66,7 @@ def _heavy_runs(m: int, share: float):
                 doc, at = rows_at(w.doc_at, m)
                 runs = run_hashes(word_hashes(c.data, w), m)
                 runs = np.sort(runs[at]) if len(at) else np.empty(0, U64)
+                yield pa.RecordBatch.from_pydict({"run": pa.nulls(1, pa.int64()), "n": pa.array([len(runs)], pa.int64())})
                 first = np.flatnonzero(np.append(True, runs[1:] != runs[:-1])) if len(runs) else np.empty(0, np.int64)
                 n = np.diff(np.append(first, len(runs)))
                 often = n >= max(2, share * c.n)
@@ -263,13 +265,18 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+#: Share of all runs that a heavy one has at least, so that there are no more heavy ones than its inverse.
+_RUN_SHARE = 2e-6
+
+
 def heavy_runs(docs: DataFrame, m: int = MINIMISER, share: float = 0.005) -> np.ndarray:
-    """Hashes of the ``m``-word runs whose counts exceed ``share`` of the documents; there are at most
-    (words per document / share) of them, however many documents there are."""
+    """Hashes of the ``m``-word runs whose counts reach ``share`` of the documents and ``_RUN_SHARE`` of all runs: half
+    a million of them at most, however many and however long the documents are."""
     n = docs.agg(F.count("*").alias("n")).first()["n"]
-    found = (
-        docs.select("text").mapInArrow(_heavy_runs(m, share), "run bigint, n bigint").groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= share * n).select("run").collect()
-    )
+    # a null run counts all
+    found = staged(docs.select("text").mapInArrow(_heavy_runs(m, share), "run bigint, n bigint").groupBy("run").agg(F.sum("n").alias("n")), "heavy_runs")
+    runs = found.where("run is null").agg(F.sum("n").alias("n")).first()["n"] or 0
+    found = found.where("run is not null").where(F.col("n") >= max(share * n, _RUN_SHARE * runs)).select("run").collect()
     return np.sort(np.array([r["run"] for r in found], np.int64).view(U64))
 
 

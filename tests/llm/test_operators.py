@@ -110,7 +110,7 @@ def test_equal_rows_are_spread(spark, monkeypatch):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]))
     assert got == Counter((i, t, n) for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True))
     keyed = table.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"), F.floor(F.rand(1) * 1000).alias("salt"))
-    assert max(r["count"] for r in mixing.in_buckets(keyed, len(rows)).groupBy(*mixing._BUCKET).count().collect()) <= 150
+    assert max(r["count"] for r in mixing.in_buckets(keyed, len(rows)).groupBy(*mixing.BUCKET).count().collect()) <= 150
     mixed = [sorted((r["doc_id"] or 0, r["text"], r["copies"]) for r in mixing.mix_documents(t).collect()) for t in (table, table.repartition(7))]
     assert mixed[0] == mixed[1] and len(mixed[0]) == len(rows)
 
@@ -334,32 +334,70 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.score_toxicity(table.limit(0), labels.limit(0)).count() == 0
 
 
-def test_toxicity_learns_from_documents_of_all_lengths(spark, monkeypatch):
-    rows = [(i, "word " * (2000 if i % 3 == 0 else 20)) for i in range(60)]
-    table, seen = spark.createDataFrame(rows, "doc_id bigint, text string"), []
+def test_toxicity_learns_from_documents_of_all_lengths(spark):
+    rows = [(i, "word " * (2000 if i % 3 == 0 else 20)) for i in range(60)] + [(0, "shorter"), (None, "no id"), (4, None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
-    monkeypatch.setattr(toxicity, "train", lambda texts, label: seen.append((texts, label)))
-    toxicity.learn(table, labels, 3, 1)
-    want = sorted(len(t) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1)
-    assert sorted(map(len, seen[0][0])) == want and want[-1] > 6000
-    toxicity.learn(table, labels, 3, 1, most_bytes=25_000)
-    assert 0 < sum(map(len, seen[1][0])) <= 50_000
-
-
-def test_toxicity_scores_every_window():
-    text = " ".join(f"a{i}" for i in range(90))
-    c = next(iter(toxicity.chunks(toxicity.pa.array([text, "", "one two"], "string"))))
-    b, doc, begin, _, _ = toxicity._placed(c, toxicity.STRIDE)
-    assert np.bincount(doc).tolist() == [59, 1, 1] and begin[:59].tolist() == list(range(59))
-    rng = np.random.default_rng(0)
+    drawn = toxicity.draw(table, labels, 3, 1).collect()
+    want = {i: len(t) for i, t in rows[:60] if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert {r["doc_id"]: len(r["text"]) for r in drawn} == want and max(want.values()) > 6000
+    assert all(r["label"] == r["doc_id"] % 2 for r in drawn)
+    less = toxicity.draw(table, labels, 3, 1, most_bytes=25_000).collect()
+    per = Counter()
+    for r in less:
+        per[r["label"]] += len(r["text"])
+    # a long text that does not fit does not end the draw
+    assert 10_000 < max(per.values()) <= 25_000 and sum(len(r["text"]) < 6000 for r in less) == sum(n < 6000 for n in want.values())
+    assert toxicity.draw(table, labels.where("toxic = 1"), 3, 1) is None
+
+
+def _random_network(seed=0):
+    rng = np.random.default_rng(seed)
     h, d = toxicity.HIDDEN, 2 * toxicity.DIM
-    p = {"att": rng.standard_normal(2 * h), "out": rng.standard_normal(2 * h), "bias": np.zeros(1)}
+    p = {"att": rng.standard_normal(2 * h), "out": rng.standard_normal(2 * h), "bias": rng.standard_normal(1)}
     for s in "fb":
-        p |= {f"w{s}": rng.standard_normal((d, 3 * h)), f"u{s}": rng.standard_normal((h, 3 * h)), f"b{s}": np.zeros(3 * h)}
-    m = toxicity.Model(*(rng.standard_normal((toxicity.HASHES, toxicity.DIM)) for _ in range(2)), p)
-    every = toxicity.batch_of(c, 1)
-    score = toxicity.logits(m, every)
-    assert np.allclose(toxicity.highest(m, c), [score[every.doc == i].max() for i in range(3)])
+        p |= {f"w{s}": rng.standard_normal((d, 3 * h)) / 2, f"u{s}": rng.standard_normal((h, 3 * h)) / 2, f"b{s}": rng.standard_normal(3 * h) / 2}
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    return toxicity.Model(*(rng.standard_normal((toxicity.HASHES, toxicity.DIM)).astype(np.float32) for _ in range(2)), p)
+
+
+def test_toxicity_scores_every_window(monkeypatch):
+    monkeypatch.setattr(toxicity, "_BLOCK", 25)
+    n_words = [90, 0, 2, 32, 31, 33, 200, 0, 1]
+    texts = [" ".join(f"a{(7 * i + k) % 61}" for i in range(n)) for k, n in enumerate(n_words)]
+    for part in (texts, texts[1:3], texts[:1], texts[:0]):
+        for c in toxicity.chunks(toxicity.pa.array(part, "string")):
+            m = _random_network()
+            every = toxicity.batch_of(c, 1)
+            score = toxicity.logits(m, every)
+            assert np.bincount(every.doc).tolist() == [max(1, len(t.split()) - 31) for t in part]
+            assert np.allclose(toxicity.highest(m, c), [score[every.doc == i].max() for i in range(len(part))], atol=1e-4)
+
+
+def test_toxicity_score_equals_a_scalar_recomputation():
+    m, text = _random_network(3), "Some words, REPEATED words and others é " * 6
+    c = next(iter(toxicity.chunks(toxicity.pa.array([text], "string"))))
+    b, number, _ = toxicity._words_of(c)
+    x, p, h = toxicity.inputs(m, b).astype(float), m.params, toxicity.HIDDEN
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+
+    def states(seq, s):
+        state, out = [0.0] * h, []
+        for word in seq:
+            pre = [sum(x[word][i] * p[f"w{s}"][i][j] for i in range(x.shape[1])) + p[f"b{s}"][j] for j in range(3 * h)]
+            z, r = ([sigmoid(pre[o + j] + sum(state[i] * p[f"u{s}"][i][o + j] for i in range(h))) for j in range(h)] for o in (0, h))
+            new = [np.tanh(pre[2 * h + j] + sum(r[i] * state[i] * p[f"u{s}"][i][2 * h + j] for i in range(h))) for j in range(h)]
+            state = [state[j] + z[j] * (new[j] - state[j]) for j in range(h)]
+            out.append(state)
+        return out
+
+    scores = []
+    for at in range(len(number) - 1 - toxicity.WINDOW + 1):
+        seq = number[at : at + toxicity.WINDOW].tolist()
+        both = [f + g for f, g in zip(states(seq, "f"), states(seq[::-1], "b")[::-1], strict=True)]
+        weight = np.exp([sum(a * v for a, v in zip(p["att"], st, strict=True)) for st in both])
+        scores.append(sum(w * sum(o * v for o, v in zip(p["out"], st, strict=True)) for w, st in zip(weight, both, strict=True)) / weight.sum() + p["bias"][0])
+    assert np.isclose(toxicity.highest(m, c)[0], max(scores), atol=1e-3)
 
 
 def test_recurrent_gradients_match_differences():
