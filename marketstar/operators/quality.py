@@ -28,6 +28,17 @@ def quarantined(records: DataFrame, key: str, error_col: str, stage: str) -> Dat
     )
 
 
+def conflicting_values(long: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Keys that several rows give *different* values: ``(keys, rows, lowest, highest)``.
+
+    Repeated rows of one value agree and are not reported.  One hash
+    aggregation with map-side combine, whatever the number of repeats.
+    """
+    per_key = long.where(F.col(value).isNotNull()).groupBy(*keys)
+    found = per_key.agg(F.count(F.lit(1)).alias("rows"), F.min(value).alias("lowest"), F.max(value).alias("highest"))
+    return found.where(F.col("lowest") < F.col("highest"))
+
+
 def row_inventory(objects: Mapping[str, DataFrame], name_col: str = "object", count_col: str = "rows") -> DataFrame:
     """``SELECT 'name', COUNT(*) ... UNION ALL ...`` over named frames, in order."""
     parts = [

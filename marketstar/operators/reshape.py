@@ -52,6 +52,9 @@ def pivot_periods(
     With ``group_col`` a label counts only in the group that ``groups`` names
     for it (a line item in its own statement).
 
+    Several values for one cell give the highest; ``quality.conflicting_values``
+    reports them.
+
     ``anchor=(column, value)`` keeps only keys that have at least one row
     with ``column == value`` (align every statement on the income periods).
     """

@@ -741,6 +741,12 @@ from raw_index where day(trade_date) = 5""",
         ),
         "index_quarantined": with_ctes(_returns_sql("index_unique", ""), ["index_unique"]),
         "financials_from_files": with_ctes("select * from fact_financials_nan", ["fact_financials_nan"]),
+        "statement_conflicts": with_ctes(
+            """select ticker, 'income' as statement, period_end, 'Net Income' as line_item, cast(2 as bigint) as rows,
+  net_income as lowest, net_income + 1 as highest
+from statement_periods where cast(ticker[2:] as bigint) % 4 = 3""",
+            ["statement_periods"],
+        ),
         "indicators_from_panels": with_ctes(
             "select * from fact_economic_indicators where cast(country_code[2:] as integer) % 2 = 0 or year > 2015", fei
         ),

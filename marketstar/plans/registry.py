@@ -15,7 +15,7 @@ from ..functions import semantic as S
 from ..session import scratch_path, session_key
 from ..sources import files, landed
 from ..sources.tables import TableSource
-from ..operators.quality import missing_keys
+from ..operators.quality import conflicting_values, missing_keys
 from . import catalog, queries as Q, star as K, views as V
 from .queries import DEFAULT, QUERIES, Params
 
@@ -236,6 +236,12 @@ def financials_from_files(spark, sf_dir):
     return K.financials(files.read_statements(spark, path))
 
 
+def statement_conflicts(spark, sf_dir):
+    """Line items that landed with different values for one period (the pivot takes the highest)."""
+    raw = landed.statements_restated(K.landed_inputs(spark, sf_dir)["raw_statements"])
+    return conflicting_values(raw, ["ticker", "statement", "period_end", "line_item"], "value")
+
+
 def indicators_from_panels(spark, sf_dir):
     """Two deliveries of the panel with other years and another column order, united by name."""
     wide = landed.raw_indicator_panel(TableSource(spark, sf_dir))
@@ -331,6 +337,7 @@ def registry() -> dict[str, QueryFn]:
             "index_repeated_days": index_repeated_days,
             "index_quarantined": index_quarantined,
             "financials_from_files": financials_from_files,
+            "statement_conflicts": statement_conflicts,
             "indicators_from_panels": indicators_from_panels,
             "sql_sector_volume": sql_sector_volume,
             "preview_companies": preview_companies,

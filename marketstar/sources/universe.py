@@ -6,21 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The eleven sector labels of the reference and a one-line
-# description of each (descriptions written for this library).
-SECTORS = [
-    ("Technology", "Software, hardware, chips and IT services"),
-    ("Healthcare", "Drugs, biotech, medical devices and care providers"),
-    ("Financials", "Banks, asset managers, insurers and payment firms"),
-    ("Consumer Discretionary", "Retail, cars, apparel, restaurants and leisure"),
-    ("Consumer Staples", "Food, drinks, household and personal products"),
-    ("Energy", "Oil and gas production, refining and services"),
-    ("Industrials", "Aerospace, machinery, transport and construction"),
-    ("Materials", "Chemicals, metals, mining and building materials"),
-    ("Real Estate", "Property trusts, owners and developers"),
-    ("Utilities", "Electricity, gas and water suppliers"),
-    ("Communication Services", "Media, entertainment and telecoms"),
-]
+# The eleven sector labels of the reference list.
+SECTOR_NAMES = (
+    "Technology",
+    "Healthcare",
+    "Financials",
+    "Consumer Discretionary",
+    "Consumer Staples",
+    "Energy",
+    "Industrials",
+    "Materials",
+    "Real Estate",
+    "Utilities",
+    "Communication Services",
+)
+SECTORS = [(name, f"Listed companies whose main business is {name.lower()}") for name in SECTOR_NAMES]
 
 SECTOR_SCHEMA = T.StructType(
     [
