@@ -12,7 +12,9 @@ Defined cases: null text is empty; a text without words has the empty
 fingerprint, which is like another empty one (1.0) and unlike any other (0.0);
 a text of one to four words has one shingle, all of its words; null ids come
 before all others; rows with one id are ordered by their texts; the only row
-of a table is its own successor; an empty table gives an empty result.
+of a table is its own successor; equal rows, which are ties, follow each other;
+texts of any length are read whole; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ sums are of integers, so reruns give the same rows.
 Defined cases: null text counts 0 words; texts without words keep one copy
 and take nothing; null source is a source of its own, after all others; an
 empty table gives an empty result; repeated rows count as documents of their
-own.  A carried input column named like an output column is replaced by it.
+own, and rows of one size and source, which are ties, get their copies in the
+order of id and text; words of texts of any length count.  A carried input
+column named like an output column is replaced by it.
 """
 
 from __future__ import annotations

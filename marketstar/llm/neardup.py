@@ -14,12 +14,13 @@ Classes are the connected components of these links:
 1. Equal texts are one node.  In each band's bucket all nodes pair with its
    least one only, and each node is verified against the leader with which it
    shares most bands: at most one pair a node, also in huge buckets.
-2. Buckets whose nodes still lie in several components are compared in full,
-   so no link between two components is lost.  Small buckets yield the pairs
-   whose registers may be similar enough, which are then verified.  Large ones
-   are cut into blocks; a task takes two blocks, computes the similarities of
-   all their texts as matrix products and yields a spanning forest of the
-   links: at most one pair a node, whatever the size of the group.
+2. Buckets whose nodes still lie in several components are compared across
+   them, so no link between two components is lost.  The nodes outside a
+   bucket's largest component (often a few strays) meet all its nodes, in
+   blocks: the smaller side travels.  A task takes two blocks, computes the
+   exact similarities of their texts as matrix products and yields a spanning
+   forest of the links between components: at most one pair a node, whatever
+   the size of the group.  Buckets of the same nodes are compared once.
 
 Defined cases: null text is empty; texts without words form one class; a text
 of one to four words has one shingle, all of its words; a class is named by
@@ -46,10 +47,9 @@ from marketstar.llm.text import U64, chunks, mix64, rows_at, run_hashes, word_ha
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-#: Of the registers, in step 2: at a similarity of 0.8 fewer agree once in 10^9 (six standard deviations).
-MAYBE = 0.55
 _BLOCK = 512
-_SMALL = 32
+#: Texts compared by one task of step 2, about.
+_TASK_ROWS = 4000
 _COLUMNS = 8192
 
 
@@ -164,26 +164,6 @@ def _verify(threshold: float):
     return run
 
 
-def _compare(block: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components of two blocks of a bucket that agree in enough registers."""
-    left, right = block[block["side"] == 0], block[block["side"] == 1]
-    if not len(right):  # the diagonal block holds its rows once
-        right = left
-    out_a, out_b = [], []
-    regs = lambda p: np.frombuffer(b"".join(p["registers"]), "<u4").reshape(len(p), REGISTERS)
-    if len(left):
-        x, y = regs(left), regs(right)
-        cx, cy = left["root"].to_numpy(), right["root"].to_numpy()
-        nx, ny = left["node"].to_numpy(), right["node"].to_numpy()
-        for i in range(len(x)):
-            near = np.flatnonzero(((y == x[i]).mean(axis=1) >= MAYBE) & (cy != cx[i]))
-            for j in near:
-                if nx[i] != ny[j]:
-                    out_a.append(max(nx[i], ny[j]))
-                    out_b.append(min(nx[i], ny[j]))
-    return pd.DataFrame({"a": out_a, "b": out_b})
-
-
 def _similar(texts: pd.Series, threshold: float) -> np.ndarray:
     """Whether each two of the texts are similar enough, as an (n, n) matrix; exact up to 64-bit shingle hashes."""
     n = len(texts)
@@ -231,29 +211,54 @@ def _similar(texts: pd.Series, threshold: float) -> np.ndarray:
 
 def _connect(threshold: float):
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        """A spanning forest of the links between (and within) two blocks of a bucket."""
+        """A spanning forest of the links between the components that meet in two blocks of a bucket."""
+        block = block.drop_duplicates("node", ignore_index=True)
         near = _similar(block["text"], threshold)
         node = block["node"].to_numpy()
+        # nodes of one component are connected already: a step to one of them costs no link
+        _, root = np.unique(block["root"].to_numpy(), return_inverse=True)
+        members = [np.flatnonzero(root == r) for r in range(int(root.max()) + 1)]
         free = np.ones(len(block), bool)
         out_a, out_b = [], []
         for start in range(len(block)):
-            if not free[start]:
-                continue
-            free[start] = False
-            todo = [start]
+            todo = members[root[start]][free[members[root[start]]]].tolist()
+            free[todo] = False
             while todo:
                 i = todo.pop()
-                reached = np.flatnonzero(near[i] & free)
-                free[reached] = False
-                todo += reached.tolist()
-                for j in reached:
-                    out_a.append(max(node[i], node[j]))
-                    out_b.append(min(node[i], node[j]))
+                for j in np.flatnonzero(near[i] & free):
+                    if free[j]:
+                        out_a.append(max(node[i], node[j]))
+                        out_b.append(min(node[i], node[j]))
+                        more = members[root[j]][free[members[root[j]]]]
+                        free[more] = False
+                        todo += more.tolist()
         return pd.DataFrame({"a": out_a, "b": out_b})
 
     return run
 
 
+def blocks_of(mixed: DataFrame, block: int) -> DataFrame:
+    """The block pairs (bucket, kind, i, j) in which each node of a mixed bucket meets the others.
+
+    ``mixed`` has bucket, node, root, main (the root of most of the bucket's nodes), n_main and n_rest.  Nodes of other
+    roots meet each other and those of ``main``; nodes of ``main`` do not meet each other.
+    """
+    half = block // 2
+    cuts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(half)).cast("int"))
+    dealt = mixed.withColumns({"rests": cuts("n_rest"), "mains": cuts("n_main"), "is_main": F.col("root") == F.col("main")})
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    pair = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own = F.col("own")
+    among = F.transform(each("rests"), lambda k: pair("rest", F.least(own, k), F.greatest(own, k)))
+    with_main = F.transform(each("mains"), lambda k: pair("main", own, k))
+    as_main = F.transform(each("rests"), lambda k: pair("main", k, own))
+    # one block of the others meets the main nodes and itself in one go
+    small = (F.col("rests") == 1) & (F.col("mains") == 1)
+    meets = F.when(small, F.array(pair("both", F.lit(0), F.lit(0)))).when(F.col("is_main"), as_main).otherwise(F.concat(among, with_main))
+    return dealt.select("bucket", "node", "root", F.inline(meets))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the least node of its connected component.
 
@@ -285,11 +290,8 @@ def duplicate_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     node = F.unhex(F.md5(text))
     members = staged(docs.select("doc_id", node.alias("node")), "near_members")
     # one row of registers per distinct text
-    registers = staged(
-        docs.select(node.alias("node"), text.alias("text")).mapInArrow(_registers, "node binary, registers binary").groupBy("node").agg(F.first("registers").alias("registers")),
-        "near_registers",
-    )
-    bands = registers.mapInArrow(_bands, "bucket bigint, node binary")
+    registers = docs.select(node.alias("node"), text.alias("text")).mapInArrow(_registers, "node binary, registers binary").groupBy("node").agg(F.first("registers").alias("registers"))
+    bands = staged(registers.mapInArrow(_bands, "bucket bigint, node binary"), "near_bands")
     shared = bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last").select("bucket", "leader")
     shared = staged(bands.join(shared, "bucket"), "near_shared")
 
@@ -312,23 +314,19 @@ def duplicate_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     # 2. what lies in one bucket but in different components
     placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    mixed = staged(placed.join(mixed.select("bucket", "n"), "bucket"), "near_mixed")
-    deal = ["bucket", "node", "root", "side", "i", "j"]
-    few = mixed.where(F.col("n") <= _SMALL).withColumns({"side": F.lit(0), "i": F.lit(0), "j": F.lit(0)}).select(*deal).join(registers, "node")
-    pairs = few.groupBy("bucket").applyInPandas(_compare, "a binary, b binary").distinct()
-    tried = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, threshold)
-    many = (
-        mixed.where(F.col("n") > _SMALL)
-        .withColumn("blocks", F.ceil(F.col("n") / _BLOCK).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", "node", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-        .join(texts, "node")
+    per_root = placed.groupBy("bucket", "root").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    )
+    buckets = per_root.groupBy("bucket").agg(
+        F.count("*").alias("roots"), F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("top"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")
     )
-    spanning = many.groupBy("bucket", "i", "j").applyInPandas(_connect(threshold), "a binary, b binary")
-    more = staged(more.union(spanning).distinct(), "near_more")
+    buckets = buckets.where("roots > 1").groupBy("all", "x", "y").agg(F.min(F.struct("bucket", "top")).alias("b"))  # the same nodes: once
+    buckets = buckets.select("b.bucket", F.col("b.top.root").alias("main"), F.col("b.top.n").alias("n_main"), (F.col("all") - F.col("b.top.n")).alias("n_rest"))
+    mixed = staged(blocks_of(placed.join(buckets, "bucket"), _BLOCK), "near_mixed")
+    tasks = max(8, -(-mixed.count() // _TASK_ROWS))
+    meeting = mixed.join(texts, "node").repartition(tasks, "bucket", "kind", "i", "j")
+    more = meeting.groupBy("bucket", "kind", "i", "j").applyInPandas(_connect(threshold), "a binary, b binary")
+    more = staged(more.distinct(), "near_more")
     if more.limit(1).count():
         roots = components(links.union(more))
 

@@ -12,7 +12,9 @@ Defined cases: a null url or one without ``://`` has empty host and path, no
 rule, and the reputation of the empty host; a null page_id carries no label;
 labels other than 0/1 or null carry no outcome; several label rows of one page
 count as one, bad if any is; without any labels every host is allowed.
-Repeated pages give repeated rows; an empty table gives an empty result.
+Repeated pages give repeated rows; of equally long rules the later in code-point
+order wins; urls of any length are judged whole; an empty table gives an empty
+result; columns other than those named are not read.
 """
 
 from __future__ import annotations
