@@ -151,12 +151,14 @@ def with_calendar_change(df: DataFrame, value: str, out: str, date_col: str, pad
     year that has rows, through one row per year.
     """
     year, base = "__calendar_year", f"__{out}_base"
-    df = df.withColumns({year: F.year(date_col), base: _c(value)})
+    df = df.withColumns({year: F.year(date_col), base: _c(value)}).repartition(year)
     inside = Window.partitionBy(year).orderBy(date_col)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     over_years = Window.orderBy(year)  # one row per calendar year
-    known = F.max_by(base, F.when(F.col(base).isNotNull(), F.col(date_col))) if pad else F.max_by(base, date_col)
-    ends = df.groupBy(year).agg(known.alias("__end"))
+    # a year's last row, whole: with the same columns both sides of the join read one exchange of the series
+    row = F.struct(date_col, base, *[c for c in df.columns if c not in (date_col, base)])
+    last = F.max(F.when(F.col(base).isNotNull(), row) if pad else row)
+    ends = df.groupBy(year).agg(last[base].alias("__end"))
     before = F.last("__end", ignorenulls=pad).over(over_years.rowsBetween(Window.unboundedPreceding, -1))
     ends = ends.select(year, before.alias("__before"))
     joined = df.join(ends, year, "left")

@@ -114,6 +114,15 @@ def test_returns_and_statements_of_staged_bars_need_no_exchange(spark, sf_small)
     assert "Exchange" not in plan(landed.statement_base(raw["bars"]), "simple")
 
 
+def test_index_returns_read_the_bars_once(spark, sf_small):
+    df = K.benchmark(star_from_driver(spark, sf_small).raw["raw_index"])
+    rows = df.orderBy("trade_date").collect()
+    df = K.benchmark(star_from_driver(spark, sf_small).raw["raw_index"])
+    df.collect()
+    text = plan(df, "simple").split("Initial Plan")[0]
+    assert len(rows) == 2289 and text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
 @pytest.mark.parametrize("query", [Q.l22_ytd_best, Q.ytd_best_minmax_by, Q.l23_most_volatile])
 def test_companies_meet_one_row_per_ticker(spark, stored, query):
     text = plan(query(stored), "simple")
