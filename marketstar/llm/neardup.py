@@ -26,7 +26,9 @@ Defined cases: null text is empty; texts without words form one class; a text
 of one to four words has one shingle, all of its words; a class is named by
 its smallest doc_id (null only if all are null), which classes of null or
 repeated ids may share, and told apart by its root, the least text MD5 in it;
-repeated rows fall into one class; an empty table gives an empty result.
+repeated rows fall into one class; a similarity of just the threshold is a
+link; texts of any length are compared whole; an empty table gives an empty
+result; columns other than those named are not read.
 """
 
 from __future__ import annotations
