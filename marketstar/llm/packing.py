@@ -20,7 +20,9 @@ per task and then over tasks.
 
 Defined cases: null and empty texts have the single id 0; repeated rows are
 documents of their own; an empty table gives an empty result; very long texts
-are cut into many pieces of one task's row batch.
+are cut into many pieces of one task's row batch; pieces of one length are
+ranked by task and order of arrival, so which of them shares a sequence with
+which is a tie of no meaning; columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ from marketstar.llm.text import chunks
 if TYPE_CHECKING:
     from tiktoken import Encoding
 
-CACHE_WORDS = 1_000_000  # about 200 MB a worker
+CACHE_WORDS = 200_000  # about 100 MB a worker; rarer words are cut again at little cost
 GROUPS = 256
 _AT_ONCE = 20_000  # new words in one call
 #: Kinds of bytes in UTF-8: letters of ASCII and Latin-1, digits and marks; odd are all others, and the apostrophe and
