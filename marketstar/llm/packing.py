@@ -36,6 +36,7 @@ from itertools import compress, pairwise
 from typing import TYPE_CHECKING
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -373,6 +374,14 @@ def plan_runs(bins: list[Bins]) -> dict[str, np.ndarray]:
     return {"key": (table[:, 0] << _RUN_SHIFT) + table[:, 1], "rank": table[:, 1], "sequence": table[:, 2], "offset": table[:, 3]}
 
 
+def _plan(capacity: int, groups: int):
+    def run(histogram: pd.DataFrame) -> pd.DataFrame:
+        counts = dict(zip(histogram["length"].tolist(), histogram["n"].tolist(), strict=True))
+        return pd.DataFrame(plan_runs(plan_bins(counts, capacity, groups)))
+
+    return run
+
+
 def _assign(runs: dict[str, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -396,9 +405,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, groups
     per_task = pieces.groupBy("length", "task").agg(F.max("task_rank").alias("last"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_task.select("length", "task", F.coalesce(F.sum(F.col("last") + 1).over(before), F.lit(0)).alias("skip"))
-    # at most one row per length: the bounded summary the plan is made from
-    histogram = per_task.groupBy("length").agg(F.sum(F.col("last") + 1).alias("n")).collect()
-    runs = plan_runs(plan_bins({int(r["length"]): int(r["n"]) for r in histogram}, capacity, groups))
+    # at most one row per length: the bounded summary the plan is made from, in one task; the plan is bounded as well
+    histogram = per_task.groupBy("length").agg(F.sum(F.col("last") + 1).alias("n"))
+    planned = histogram.groupBy().applyInPandas(_plan(capacity, groups), "key bigint, rank bigint, sequence bigint, offset bigint").toArrow()
+    runs = {c: planned[c].to_numpy() for c in planned.column_names}
     ranked = pieces.join(offsets, ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, (F.col("skip") + F.col("task_rank")).alias("rank")
     )
