@@ -39,7 +39,7 @@ def let(value: Column, body) -> Column:
 
 
 #: Cells of a panel row that are read at most; a row with more fails the query.
-PANEL_CELLS = 512
+PANEL_CELLS = 128
 
 
 def read_panels(spark: SparkSession, path: str, columns: Sequence[str], sep: str = "\t") -> DataFrame:

@@ -189,13 +189,22 @@ def _line_key() -> Column:
         "l_extendedprice": (cents, cents / F.lit(100.0) == F.col("l_extendedprice")),
         "l_quantity": (F.col("l_quantity").cast("bigint"), F.floor("l_quantity") == F.col("l_quantity")),
     }
-    fits, key, below = F.lit(True), None, 0
-    for name, digits in reversed(LINE_KEY_DIGITS.items()):
+    fits = F.lit(True)
+    for name, digits in LINE_KEY_DIGITS.items():
         value, exact = parts[name]
         fits = fits & exact & value.between(0, 10**digits - 1)
-        term = value.cast(f"decimal({digits},0)") * F.lit(str(10**below)).cast(f"decimal({below + 1},0)")
-        key = term if key is None else (key + term).cast("decimal(38,0)")
-        below += digits
+    # neighbours that fit a long together are put together as longs; only then come two steps of decimals
+    width = LINE_KEY_DIGITS
+    high = parts["l_orderkey"][0] * 10 ** width["l_linenumber"] + parts["l_linenumber"][0]
+    low = parts["l_extendedprice"][0] * 10 ** width["l_quantity"] + parts["l_quantity"][0]
+    n_low = width["l_extendedprice"] + width["l_quantity"]
+    n_part = width["l_partkey"]
+
+    def shifted(value: Column, digits: int, by: int) -> Column:
+        return value.cast(f"decimal({digits},0)") * F.lit(str(10**by)).cast(f"decimal({by + 1},0)")
+
+    key = shifted(high, width["l_orderkey"] + width["l_linenumber"], n_part + n_low) + (shifted(parts["l_partkey"][0], n_part, n_low) + low.cast(f"decimal({n_low},0)"))
+    key = key.cast("decimal(38,0)")
     wrong = F.raise_error(F.concat(F.lit("line item does not fit the packed line key: "), F.to_json(F.struct(*LINE_KEY_DIGITS))))
     return F.when(fits, key).when(~fits, wrong.cast("decimal(38,0)"))
 
@@ -223,14 +232,14 @@ def daily_bars(src: TableSource, start: Column | str | None = None, end: Column
     if end is not None:
         li = li.where(F.col("l_shipdate") < day(end))
     unit = F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))
-    key = _line_key()
+    lines = li.select("l_suppkey", F.to_date("l_shipdate").alias("trade_date"), "l_quantity", "l_extendedprice", unit.alias("unit"), _line_key().alias("line"))
     return (
-        li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("trade_date"))
+        lines.groupBy("l_suppkey", "trade_date")
         .agg(
-            F.min(key).alias("first_line"),
-            F.max(unit).alias("high_price"),
-            F.min(unit).alias("low_price"),
-            F.max(key).alias("last_line"),
+            F.min("line").alias("first_line"),
+            F.max("unit").alias("high_price"),
+            F.min("unit").alias("low_price"),
+            F.max("line").alias("last_line"),
             F.sum("l_quantity").cast("bigint").alias("volume"),
             # Additive day totals, so yearly statements roll up from the bars
             # instead of scanning the line items a second time.
