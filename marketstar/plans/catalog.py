@@ -80,8 +80,12 @@ def write_table(
 SCRATCH_SCHEMA = "marketstar_scratch"
 
 
-def bucket_count(rows: int, rows_per_bucket: int = 50_000_000, least: int = 8, most: int = 50_000) -> int:
-    """Buckets for data derived from ``rows`` landed rows: a few files a year each, however large the data."""
+#: Landed rows a bucket is meant for: one task sorts a bucket in memory, with its neighbours on the executor.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, least: int = 8, most: int = 50_000) -> int:
+    """Buckets for data derived from ``rows`` landed rows: one file a year each, of as many rows however large the data."""
     return int(min(most, max(least, -(-rows // rows_per_bucket))))
 
 

@@ -231,10 +231,15 @@ def daily_bars(src: TableSource, start: Column | str | None = None, end: Column
         li = li.where(F.col("l_shipdate") >= day(start))
     if end is not None:
         li = li.where(F.col("l_shipdate") < day(end))
+    return _bars_of(li)
+
+
+def _bars_of(li: DataFrame, *more_keys: str) -> DataFrame:
+    """The bars of listed line items; ``more_keys`` are columns that the supplier decides."""
     unit = F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))
-    lines = li.select("l_suppkey", F.to_date("l_shipdate").alias("trade_date"), "l_quantity", "l_extendedprice", unit.alias("unit"), _line_key().alias("line"))
-    return (
-        lines.groupBy("l_suppkey", "trade_date")
+    lines = li.select(*more_keys, "l_suppkey", F.to_date("l_shipdate").alias("trade_date"), "l_quantity", "l_extendedprice", unit.alias("unit"), _line_key().alias("line"))
+    bars = (
+        lines.groupBy(*more_keys, "l_suppkey", "trade_date")
         .agg(
             F.min("line").alias("first_line"),
             F.max("unit").alias("high_price"),
@@ -247,8 +252,32 @@ def daily_bars(src: TableSource, start: Column | str | None = None, end: Column
             F.sum("l_quantity").alias("day_quantity"),
             F.count(F.lit(1)).alias("day_lines"),
         )
-        .withColumn("ticker", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
     )
+    return bars.drop(*more_keys).withColumn("ticker", _ticker())
+
+
+def _ticker() -> Column:
+    return F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+
+
+def daily_bars_by_ticker(src: TableSource, parts: int, most_lines: int) -> DataFrame:
+    """:func:`daily_bars` in ``parts`` partitions by ticker, the line items exchanged once.
+
+    Most (supplier, day) groups hold one line item, so combining them before
+    the exchange reduces nothing and keeps a whole scan task in memory: the
+    lines go to their ticker's partition as they are and are summed there.  A
+    supplier of more than ``most_lines`` would be one long task; its lines are
+    spread and combined by day, and only its bars go to the ticker's partition.
+    """
+    li = src.lineitem.where(F.col("l_suppkey").isNotNull())
+    counts = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    hot = [r["l_suppkey"] for r in counts.where(F.col("n") > most_lines).select("l_suppkey").collect()]  # one in ``most_lines`` rows at most
+    columns = ["l_suppkey", "l_shipdate", *[c for c in LINE_KEY_DIGITS]]
+    spread = li.where(~F.col("l_suppkey").isin(hot)) if hot else li
+    bars = _bars_of(spread.select(_ticker().alias("__ticker"), *columns).repartition(parts, "__ticker"), "__ticker")
+    if hot:
+        bars = bars.unionByName(_bars_of(li.where(F.col("l_suppkey").isin(hot))).repartition(parts, "ticker"))
+    return bars
 
 
 def prices_from_bars(bars: DataFrame) -> DataFrame:
