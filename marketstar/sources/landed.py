@@ -271,13 +271,13 @@ def daily_bars_by_ticker(src: TableSource, parts: int, most_lines: int) -> DataF
     """
     li = src.lineitem.where(F.col("l_suppkey").isNotNull())
     counts = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    hot = [r["l_suppkey"] for r in counts.where(F.col("n") > most_lines).select("l_suppkey").collect()]  # one in ``most_lines`` rows at most
+    hot = counts.where(F.col("n") > most_lines)  # one in ``most_lines`` rows at most
     columns = ["l_suppkey", "l_shipdate", *[c for c in LINE_KEY_DIGITS]]
-    spread = li.where(~F.col("l_suppkey").isin(hot)) if hot else li
-    bars = _bars_of(spread.select(_ticker().alias("__ticker"), *columns).repartition(parts, "__ticker"), "__ticker")
-    if hot:
-        bars = bars.unionByName(_bars_of(li.where(F.col("l_suppkey").isin(hot))).repartition(parts, "ticker"))
-    return bars
+    by_ticker = lambda li: _bars_of(li.select(_ticker().alias("__ticker"), *columns).repartition(parts, "__ticker"), "__ticker")
+    if not hot.count():
+        return by_ticker(li)
+    is_hot = F.array_contains(hot.agg(F.collect_list("l_suppkey")).scalar(), F.col("l_suppkey"))
+    return by_ticker(li.where(~is_hot)).unionByName(_bars_of(li.where(is_hot)).repartition(parts, "ticker"))
 
 
 def prices_from_bars(bars: DataFrame) -> DataFrame:
